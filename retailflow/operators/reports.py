@@ -92,7 +92,9 @@ def join_agents(sales: DataFrame, agents: DataFrame, spread: int = 16) -> DataFr
     hash of the sale so that a retried task picks the same ones.
     """
     sales_cols, agent_cols = sales.columns, agents.columns
-    slot = F.pmod(F.xxhash64(*sales_cols), F.lit(spread)).cast("int")
+    hashed = F.xxhash64("transaction_id", "customer_id", "product_id")
+    # Never NULL, which spares Spark a null check on it below the join.
+    slot = F.coalesce(F.pmod(hashed, F.lit(spread)).cast("int"), F.lit(0))
     spread_sales = sales.withColumn("_slot", slot)
     spread_agents = agents.withColumn(
         "_agent_slot", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))

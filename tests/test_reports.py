@@ -1,0 +1,194 @@
+"""Reports against plain Python over small fixtures with a hot key in them."""
+
+import datetime as dt
+import random
+from collections import Counter, defaultdict
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from retailflow import operators as op
+from rows import row_set
+
+FACT = """product_id string, location_id string, offer int, is_online string, units int,
+  total_paid double"""
+PRODUCT = "product_id string, product_name string, product_category string"
+LOCATION = "location_id string, city string, state string, postal_code string"
+
+
+@pytest.fixture(scope="module")
+def fact_rows():
+    pick = random.Random(11)
+    rows = []
+    for i in range(900):
+        hot = i % 3 == 0
+        rows.append((
+            "p0" if hot else f"p{pick.randrange(40)}",
+            pick.choice(["", None, "l-hot" if hot else f"l{pick.randrange(25)}"]),
+            pick.choice([None, 1, 2, 3, 4, 5, 9]),
+            pick.choice(["yes", "no", None]),
+            pick.choice([None, 1, 2, 3]),
+            pick.choice([None, pick.randrange(10**6) / 10**4]),
+        ))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def product_rows():
+    # p1 is listed twice, p39 is unknown, several ids share a name.
+    return [(f"p{i}", f"name{i % 15}", "c") for i in range(39)] + [("p1", "other", "c")]
+
+
+@pytest.fixture(scope="module")
+def location_rows():
+    return [(f"l{i}", f"city{i % 13}", "s", "1") for i in range(25)] + [
+        ("l-hot", "city1", "s", "2"), (None, "nowhere", None, None), ("l2", "elsewhere", "s", "3"),
+    ]
+
+
+def names_of(product_rows):
+    names = defaultdict(list)
+    for pid, name, _ in product_rows:
+        names[pid].append(name)
+    return names
+
+
+def test_top_products(spark, fact_rows, product_rows):
+    names, sold = names_of(product_rows), {}
+    for pid, _, _, _, units, _ in fact_rows:
+        for name in names[pid]:
+            before = sold.get(name)
+            sold[name] = before if units is None else (before or 0) + units
+    expected = sorted(sold.items(), key=lambda x: (x[1] is None, -(x[1] or 0), x[0]))
+    result = op.top_products(
+        spark.createDataFrame(fact_rows, FACT), spark.createDataFrame(product_rows, PRODUCT)
+    )
+    assert result.dtypes == [("product_name", "string"), ("total_sold_units", "bigint")]
+    assert [tuple(r) for r in result.collect()] == expected[:10]
+    assert op.top_products(
+        spark.createDataFrame(fact_rows, FACT), spark.createDataFrame(product_rows, PRODUCT), 3
+    ).count() == 3
+
+
+def test_offer_redemptions(spark, fact_rows):
+    used = Counter(r[2] for r in fact_rows if r[2] is not None)
+    expected = sorted(used.items(), key=lambda x: (-x[1], x[0]))[:5]
+    labels = {n: f"offer_{n}" for n in range(1, 6)}
+    result = op.offer_redemptions(spark.createDataFrame(fact_rows, FACT))
+    assert [tuple(r) for r in result.collect()] == [(labels.get(o), n) for o, n in expected]
+
+
+def test_best_offer_per_product(spark, fact_rows, product_rows):
+    used = Counter((r[0], r[2]) for r in fact_rows if r[2] is not None)
+    best = {}
+    for (pid, offer), n in used.items():
+        best[pid] = min(best.get(pid, (0, 0)), (-n, offer))
+    expected = [
+        (name, f"offer_{offer}" if offer <= 5 else "other_offer", -n)
+        for pid, (n, offer) in best.items() for name in names_of(product_rows)[pid]
+    ]
+    result = op.best_offer_per_product(
+        spark.createDataFrame(fact_rows, FACT), spark.createDataFrame(product_rows, PRODUCT)
+    )
+    rows = [tuple(r) for r in result.collect()]
+    assert sorted(rows) == sorted(expected)
+    assert [(-r[2], r[0]) for r in rows] == sorted((-r[2], r[0]) for r in rows)
+
+
+def test_lowest_online_cities(spark, fact_rows, location_rows):
+    cities = defaultdict(list)
+    for lid, city, _, _ in location_rows:
+        cities[lid].append(city)
+    paid = {}
+    for _, lid, _, online, _, amount in fact_rows:
+        if online == "yes" and lid is not None:
+            for city in cities[lid]:
+                before = paid.get(city)
+                paid[city] = before if amount is None else (before or 0) + Decimal(str(amount))
+    expected = sorted(
+        (float(v.quantize(Decimal("0.01"), ROUND_HALF_UP)), c) for c, v in paid.items()
+    )[:10]
+    result = op.lowest_online_cities(
+        spark.createDataFrame(fact_rows, FACT), spark.createDataFrame(location_rows, LOCATION)
+    )
+    assert [(r.online_sales, r.city) for r in result.collect()] == expected
+
+
+def test_amounts_a_decimal_cannot_hold_still_count(spark):
+    fact = spark.createDataFrame(
+        [(None, "l1", None, "yes", 1, 1e20), (None, "l1", None, "yes", 1, 2.5),
+         (None, "l2", None, "yes", 1, float("inf")), (None, "l3", None, "yes", 1, 0.1)],
+        FACT,
+    )
+    location = spark.createDataFrame([(f"l{i}", f"c{i}", "s", "1") for i in (1, 2, 3)], LOCATION)
+    result = {r.city: r.online_sales for r in op.lowest_online_cities(fact, location).collect()}
+    assert result == {"c1": 1e20 + 2.5, "c2": float("inf"), "c3": 0.1}
+
+
+def agents_frame(spark):
+    return spark.createDataFrame(
+        [("1", "Ann", "2015"), ("2", "Bob", "2016"), ("3", "Ann", "2017"), ("9", "Eve", "2018")],
+        "sales_person_id string, name string, hire_date string",
+    )
+
+
+def sales_frame(spark, n=300):
+    rows = [
+        (f"t{i}", f"c{i % 50}", f"p{i % 12}", f"name{i % 6}",
+         "1" if i % 3 == 0 else str(i % 5), "x" if i % 31 == 0 else f"{i % 4}.5")
+        for i in range(n)
+    ]
+    return spark.createDataFrame(
+        rows, """transaction_id string, customer_id string, product_id string,
+        product_name string, sales_agent_id string, units string""",
+    )
+
+
+def test_join_agents_is_the_plain_inner_join(spark):
+    sales, agents = sales_frame(spark), agents_frame(spark)
+    plain = sales.join(agents, sales.sales_agent_id == agents.sales_person_id)
+    for spread in (1, 7, 16):
+        joined = op.join_agents(sales, agents, spread)
+        assert joined.columns == plain.columns
+        assert row_set(joined) == row_set(plain)
+
+
+def test_agent_product_units_is_join_then_sum(spark):
+    sales, agents = sales_frame(spark), agents_frame(spark)
+    plain = (
+        op.join_agents(sales, agents).groupBy("name", "product_name")
+        .agg(F.sum(F.col("units").try_cast("double")).alias("total_sold_units"))
+    )
+    assert row_set(op.agent_product_units(sales, agents)) == row_set(plain)
+    assert dict(plain.dtypes)["total_sold_units"] == "double"
+
+
+def test_units_by_agent_add_up_to_the_joined_rows(spark):
+    sales, agents = sales_frame(spark), agents_frame(spark)
+    total = op.agent_product_units(sales, agents).agg(F.sum("total_sold_units")).first()[0]
+    joined = op.join_agents(sales, agents)
+    assert total == joined.agg(F.sum(F.col("units").try_cast("double"))).first()[0]
+
+
+def test_sold_on_is_one_day_and_sold_since_a_range(spark):
+    as_of = dt.date(2024, 2, 3)
+    days = [as_of - dt.timedelta(days=d) for d in (549, 548, 548, 547, 0)] + [None]
+    df = spark.createDataFrame([(d,) for d in days], "transaction_date date")
+    assert [r[0] for r in op.sold_on(df, as_of).collect()] == days[1:3]
+    assert [r[0] for r in op.sold_since(df, as_of).collect()] == days[1:5]
+    assert op.sold_on(df, "2024-02-03", 0).count() == 1
+
+
+def test_event_reports(spark):
+    events = spark.createDataFrame(
+        [("purchase", "PayPal", 10.25), ("purchase", "PayPal", 0.5), ("purchase", "PayPal", None),
+         ("addToCart", "Unknown", 0.0), (None, "Unknown", 0.0), ("purchase", None, None)],
+        "eventType string, paymentMethod string, totalAmount double",
+    )
+    assert row_set(op.avg_amount_by_method(events)) == [
+        "('PayPal', 5.375)", "('Unknown', 0.0)", "(None, None)",
+    ]
+    assert row_set(op.events_by_type(events)) == [
+        "('addToCart', 1)", "('purchase', 4)", "(None, 1)",
+    ]

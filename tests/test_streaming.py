@@ -1,0 +1,223 @@
+import glob
+import json
+import shutil
+
+import pytest
+
+from retailflow import plans
+from retailflow import sources as src
+from retailflow import streaming as st
+from rows import row_set
+
+EVENTS = [
+    {"eventType": "purchase", "customerId": "1", "productId": "9",
+     "timestamp": "2024-01-01T09:05:07", "quantity": 3, "totalAmount": 12.5,
+     "paymentMethod": "PayPal", "metadata": {}},
+    {"eventType": "addToCart", "customerId": "2", "productId": "8",
+     "timestamp": "2024-01-01T23:59:59", "quantity": 2, "totalAmount": 5.0,
+     "paymentMethod": "PayPal", "metadata": {}},
+    {"eventType": "productView", "customerId": "3", "productId": "7",
+     "timestamp": "2024-01-02T00:00:00", "quantity": 4,
+     "metadata": {"category": "Books", "source": "Search"}},
+    {"eventType": "recommendationClick", "customerId": "4", "productId": "6",
+     "timestamp": "2024-01-02T10:00:00", "recommendedProductId": "5",
+     "algorithm": "content_based", "metadata": {}},
+]
+
+
+def lines(events):
+    return [e if isinstance(e, str) else json.dumps(e) for e in events]
+
+
+def values(spark, events):
+    return spark.createDataFrame([(line,) for line in lines(events)], "value string")
+
+
+def land(folder, name, events):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text("\n".join(lines(events)) + "\n")
+
+
+def run(spark, tmp_path):
+    source = st.replay_source(spark, str(tmp_path / "topic"))
+    query = plans.run_event_stream(
+        source, str(tmp_path / "events"), str(tmp_path / "checkpoint"), available_now=True
+    )
+    query.awaitTermination()
+    return st.read_events(spark, str(tmp_path / "events"))
+
+
+def test_fields_stay_only_with_the_types_that_own_them(spark):
+    rows = {r.eventType: r for r in st.shape_events(values(spark, EVENTS)).collect()}
+
+    def owned(kind):
+        r = rows[kind]
+        return (r.quantity, r.totalAmount, r.paymentMethod, r.recommendedProductId, r.algorithm)
+
+    assert owned("purchase") == (3, 12.5, "PayPal", "None", "None")
+    assert owned("addToCart") == (2, 0.0, "Unknown", "None", "None")
+    assert owned("productView") == (0, 0.0, "Unknown", "None", "None")
+    assert owned("recommendationClick") == (0, 0.0, "Unknown", "5", "content_based")
+    assert tuple(rows["productView"].metadata) == ("Books", "Search")
+    assert tuple(rows["purchase"].metadata) == (None, None)
+
+
+def test_event_types_are_case_sensitive(spark):
+    row = st.shape_events(values(spark, [{**EVENTS[3], "eventType": "recommendationclick"}])).first()
+    assert (row.recommendedProductId, row.algorithm) == ("None", "None")
+
+
+def test_owned_field_that_is_missing_stays_null(spark):
+    row = st.shape_events(values(spark, [{"eventType": "purchase"}])).first()
+    assert (row.quantity, row.totalAmount, row.paymentMethod) == (None, None, None)
+    assert (row.timestamp, row.date, row.hour) == (None, None, None)
+
+
+def test_malformed_record_is_kept_with_defaults(spark):
+    row = st.shape_events(values(spark, ["{bad"])).first()
+    assert (row.eventType, row.customerId, row.timestamp) == (None, None, None)
+    assert (row.quantity, row.totalAmount) == (0, 0.0)
+    assert (row.paymentMethod, row.recommendedProductId, row.algorithm) == (
+        "Unknown", "None", "None",
+    )
+
+
+def test_field_of_the_wrong_type(spark):
+    row = st.parse_events(values(spark, [{**EVENTS[0], "quantity": "zz"}])).first()
+    assert row.quantity is None
+    assert (row.eventType, row.totalAmount) == ("purchase", 12.5)
+
+
+def test_bytes_are_decoded(spark):
+    df = values(spark, EVENTS[:1]).selectExpr("cast(value as binary) as value")
+    assert st.parse_events(df).first().customerId == "1"
+
+
+def test_event_time(spark):
+    df = st.with_event_time(st.parse_events(values(spark, EVENTS)))
+    assert dict(df.dtypes)["timestamp"] == "timestamp"
+    assert {(str(r.date), r.hour) for r in df.collect()} == {
+        ("2024-01-01", "09"), ("2024-01-01", "23"), ("2024-01-02", "00"), ("2024-01-02", "10"),
+    }
+    bad = values(spark, [{**EVENTS[0], "timestamp": "noon"}])
+    assert st.with_event_time(st.parse_events(bad)).first().hour is None
+
+
+def test_stream_stores_what_the_batch_computes(spark, tmp_path):
+    events = EVENTS * 5 + ["{bad", ""]
+    land(tmp_path / "topic", "1.json", events)
+    stored = run(spark, tmp_path)
+    expected = st.shape_events(values(spark, events))
+    assert dict(stored.dtypes) == dict(expected.dtypes)
+    assert row_set(stored.select(expected.columns)) == row_set(expected)
+
+
+def test_restart_adds_only_new_files(spark, tmp_path):
+    land(tmp_path / "topic", "1.json", EVENTS)
+    assert run(spark, tmp_path).count() == 4
+    assert run(spark, tmp_path).count() == 4
+    land(tmp_path / "topic", "2.json", EVENTS[:3])
+    assert run(spark, tmp_path).count() == 7
+    reports = plans.event_reports(spark, str(tmp_path / "events"))
+    assert row_set(reports["avg_amount_by_method"]) == ["('PayPal', 12.5)", "('Unknown', 0.0)"]
+    assert ("purchase", 2) in [tuple(r) for r in reports["events_by_type"].collect()]
+
+
+def test_one_file_per_batch_loses_nothing(spark, tmp_path):
+    for i in range(4):
+        land(tmp_path / "topic", f"{i}.json", EVENTS[: i + 1])
+    source = st.replay_source(spark, str(tmp_path / "topic"), maxFilesPerTrigger=1)
+    st.start_sink(
+        st.shape_events(source), str(tmp_path / "events"), str(tmp_path / "cp"), True
+    ).awaitTermination()
+    assert st.read_events(spark, str(tmp_path / "events")).count() == 10
+
+
+def test_leftovers_of_a_failed_batch_are_not_read(spark, tmp_path):
+    land(tmp_path / "topic", "1.json", EVENTS)
+    run(spark, tmp_path)
+    part = glob.glob(f"{tmp_path}/events/part-*.parquet")[0]
+    shutil.copy(part, f"{tmp_path}/events/part-leftover.parquet")
+    assert st.read_events(spark, str(tmp_path / "events")).count() == 4
+    src.compact(spark, str(tmp_path / "events"), str(tmp_path / "compacted"))
+    assert spark.read.parquet(str(tmp_path / "compacted")).count() == 4
+
+
+@pytest.fixture
+def many_files(spark, tmp_path):
+    path = str(tmp_path / "many")
+    st.shape_events(values(spark, EVENTS * 25)).repartition(20).write.parquet(path)
+    return path
+
+
+def parquet_files(path):
+    return glob.glob(f"{path}/*.parquet")
+
+
+@pytest.mark.parametrize("how", [{}, {"files": 5}, {"target_bytes": 10**9}])
+def test_compaction_keeps_the_rows(spark, tmp_path, many_files, how):
+    out = str(tmp_path / "out")
+    src.compact(spark, many_files, out, **how)
+    assert len(parquet_files(out)) == {"files": 5, "target_bytes": 1}.get(next(iter(how), ""), 2)
+    assert row_set(spark.read.parquet(out)) == row_set(spark.read.parquet(many_files))
+    assert len(parquet_files(many_files)) == 20
+
+
+def test_compaction_by_size_follows_the_input(spark, tmp_path, many_files):
+    size = sum(len(open(f, "rb").read()) for f in parquet_files(many_files))
+    out = str(tmp_path / "out")
+    src.compact(spark, many_files, out, target_bytes=size // 3)
+    assert 2 <= len(parquet_files(out)) <= 4
+
+
+def test_compaction_replaces_its_target(spark, tmp_path, many_files):
+    out = str(tmp_path / "out")
+    spark.range(3).write.parquet(out)
+    src.compact(spark, many_files, out)
+    assert spark.read.parquet(out).count() == 100
+
+
+def test_compaction_without_input(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="nowhere"):
+        src.compact(spark, str(tmp_path / "nowhere"), str(tmp_path / "out"))
+
+
+@pytest.mark.parametrize("src_dst", [
+    ("/d/events", "/d/events"), ("/d/events", "/d/events/"), ("file:/d/events", "/d/events"),
+    ("/d/events", "/d/events/compacted"), ("/d/events", "/d"), ("file:///d/events", "/d/events"),
+])
+def test_compaction_never_overwrites_its_input(spark, src_dst):
+    with pytest.raises(ValueError, match="overwrite"):
+        src.compact(spark, *src_dst)
+
+
+class Recorder:
+    """Stands in for a session: the Kafka package is not installed here."""
+
+    def __init__(self):
+        self.readStream = self
+        self.calls = {}
+
+    def format(self, name):
+        self.calls["format"] = name
+        return self
+
+    def option(self, key, value):
+        self.calls[key] = value
+        return self
+
+    def options(self, **options):
+        self.calls.update(options)
+        return self
+
+    def load(self):
+        return self.calls
+
+
+def test_kafka_options_come_from_the_caller():
+    options = {"kafka.bootstrap.servers": "host:9092", "maxOffsetsPerTrigger": "1000"}
+    assert st.kafka_source(Recorder(), "shop", options) == {
+        "format": "kafka", "subscribe": "shop", "startingOffsets": "earliest", **options,
+    }
+    later = st.kafka_source(Recorder(), "shop", {"startingOffsets": "latest"})
+    assert later["startingOffsets"] == "latest"
