@@ -3,7 +3,7 @@
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retailflow.functions import fact_location_key, location_key, to_double, to_int
@@ -73,9 +73,22 @@ def rows_not_in(new: DataFrame, current: DataFrame, keys: list[str] | None = Non
 
     Without `keys` the whole row is the key. NULLs match NULLs, so a dimension
     row with a NULL key is not added a second time either.
+
+    `current` is first cut down to what `new` asks about. A load is small beside
+    the table it goes into, so Spark can broadcast the load for that step (an
+    anti join alone could only broadcast the table) and the table is scanned
+    without a shuffle.
     """
     if keys is None:
-        return new.select(current.columns).subtract(current)
-    known = current.select(*[F.col(k).alias(f"_known_{k}") for k in keys]).distinct()
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys])
-    return dedup_by_key(new, keys).join(known, same, "left_anti")
+        keys = current.columns
+        candidates = new.select(*keys).distinct()
+    else:
+        candidates = dedup_by_key(new, keys)
+    asked = candidates.select(*[F.col(k).alias(f"_asked_{k}") for k in keys])
+    known = current.select(*keys).join(asked, _same_key(keys, "_asked_"), "left_semi")
+    known = known.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+    return candidates.join(known, _same_key(keys, "_known_"), "left_anti")
+
+
+def _same_key(keys: list[str], prefix: str) -> Column:
+    return reduce(and_, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])

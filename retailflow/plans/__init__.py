@@ -1,5 +1,11 @@
 from .daily import daily_report, run_daily
-from .hourly import HourlyTables, hourly_reports, run_hourly
+from .hourly import (
+    HourlyTables,
+    hourly_reports,
+    landing_profile,
+    run_hourly,
+    wide_profile,
+)
 from .stream import event_reports, run_event_stream
 
 __all__ = [
@@ -7,7 +13,9 @@ __all__ = [
     "daily_report",
     "event_reports",
     "hourly_reports",
+    "landing_profile",
     "run_daily",
     "run_event_stream",
     "run_hourly",
+    "wide_profile",
 ]

@@ -81,3 +81,24 @@ def hourly_reports(spark: SparkSession, tables: HourlyTables) -> dict[str, DataF
         "best_offer_per_product": op.best_offer_per_product(fact, product),
         "lowest_online_cities": op.lowest_online_cities(fact, location),
     }
+
+
+def landing_profile(raw: DataFrame) -> dict[str, DataFrame]:
+    """What the raw sales of an hour look like before they are cleaned."""
+    return {
+        "row_count": op.row_count(raw),
+        "null_profile": op.null_profile(raw),
+        "duplicate_count": op.duplicate_count(op.fill_defaults(raw)),
+    }
+
+
+def wide_profile(wide: DataFrame) -> dict[str, DataFrame]:
+    """Run periods and partition sizes of the cleaned table."""
+    return {
+        "distinct_extraction_periods": op.distinct_count(
+            wide, "Extraction_Year", "Extraction_Month"
+        ),
+        "rows_per_month": op.group_counts(wide, ["Extraction_Month"]),
+        "partition_sizes": op.partition_sizes(wide),
+        "partition_profile": op.partition_profile(wide, "Extraction_Month"),
+    }

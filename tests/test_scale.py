@@ -137,3 +137,27 @@ def test_hot_bucket_is_split_over_tasks(spark, conf, database):
     sizes = [r[1] for r in files.collect()]
     assert written.count() == n and sum(sizes) == n // 3
     assert len(sizes) > 4 and max(sizes) < n // 6
+
+
+@pytest.fixture
+def dimension_and_load(spark, tmp_path):
+    rows = spark.range(5000).selectExpr("cast(id as string) id", "id % 7 as v")
+    rows.write.parquet(f"{tmp_path}/dim")
+    rows.filter("id < 10").write.parquet(f"{tmp_path}/load")
+    return spark.read.parquet(f"{tmp_path}/dim"), spark.read.parquet(f"{tmp_path}/load")
+
+
+def test_small_load_shuffles_no_row_of_the_dimension(dimension_and_load):
+    dimension, load = dimension_and_load
+    plan = plan_of(op.rows_not_in(load, dimension))
+    assert re.search(r"BroadcastHashJoin[^\n]*LeftSemi", plan)
+    # Both come from making the load distinct.
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_large_load_is_made_distinct_before_it_is_joined(dimension_and_load, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    dimension, load = dimension_and_load
+    plan = plan_of(op.rows_not_in(load, dimension))
+    first_scan = plan[plan.index("LeftAnti"):plan.index("FileScan")]
+    assert first_scan.count("HashAggregate") == 2
