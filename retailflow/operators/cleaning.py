@@ -16,6 +16,7 @@ from retailflow.constants import (
     TRANSACTION_DATE_FORMAT,
 )
 from retailflow.functions import discount_rate, email_trimmed, offer_code, to_double
+from retailflow.operators.quality import dedup_exact
 
 
 def fill_defaults(df: DataFrame, defaults: dict[str, str] = NULL_DEFAULTS) -> DataFrame:
@@ -88,13 +89,9 @@ def derive_sales(df: DataFrame, as_of: date | str) -> DataFrame:
 
 
 def clean_sales(df: DataFrame, as_of: date | str) -> DataFrame:
-    """Defaults, one of each group of exact copies, then the derived columns.
-
-    Copies are combined before the shuffle, so a group of any size costs one
-    row per map task.
-    """
+    """Defaults, one of each group of exact copies, then the derived columns."""
     return (
         df.transform(fill_defaults)
-        .dropDuplicates()
+        .transform(dedup_exact)
         .transform(derive_sales, as_of)
     )

@@ -357,8 +357,9 @@ def sales_since_548(spark, sf_dir):
 
 @query
 def top_products(spark, sf_dir):
-    sales = _cleaned(spark, sf_dir)
-    return op.top_products(op.fact(sales), op.product_dim(sales))
+    return op.top_products(
+        op.fact(_cleaned(spark, sf_dir)), op.product_dim(_derived(spark, sf_dir))
+    )
 
 
 @query
