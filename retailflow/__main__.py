@@ -9,6 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from retailflow import operators as op
 from retailflow import plans
 from retailflow import sources as src
 from retailflow import streaming as st
@@ -36,9 +37,11 @@ def profile(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def daily(spark: SparkSession, args: argparse.Namespace) -> None:
     wide = plans.HourlyTables(args.database).wide
-    print(plans.run_daily(
+    _show({"sold_on": op.sold_on(spark.table(wide), args.date)})
+    path = plans.run_daily(
         spark, wide, args.agents_base, args.agents_date, args.out, args.date, args.mode
-    ))
+    )
+    print(f"report in {path}")
 
 
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:

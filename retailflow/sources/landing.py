@@ -47,5 +47,8 @@ def read_entity(spark: SparkSession, base: str, prefix: str) -> DataFrame:
 
 def landing_hours(df: DataFrame) -> DataFrame:
     """Rows by the hour in the name of the file they came from."""
-    hour = F.regexp_extract("_metadata.file_path", r"_(\d{2})\.csv", 1)
-    return df.groupBy(hour.alias("hour")).agg(F.count("*").alias("rows"))
+    per_file = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count("*").alias("rows")
+    )
+    hour = F.regexp_extract("file", r"_(\d{2})\.csv", 1)
+    return per_file.groupBy(hour.alias("hour")).agg(F.sum("rows").alias("rows"))

@@ -55,8 +55,9 @@ def append_dim(df: DataFrame, name: str) -> None:
 def append_fact(df: DataFrame, name: str) -> None:
     """Append to the fact table, one folder per run month.
 
-    One run has one month, and the rows come out of the clean-up shuffle in
-    tasks of the size adaptive execution aims at: no shuffle is added here.
+    One run has one month, and its rows come in tasks of a fair size, be they
+    splits of the wide table or partitions sized by adaptive execution. So no
+    shuffle is added here, and each task writes one file.
     """
     df.write.format("orc").partitionBy(*EXTRACTION_PARTITIONS).mode("append").saveAsTable(name)
 
