@@ -6,17 +6,35 @@ from pyspark.sql import functions as F
 from retailflow.llm.content_sort import content_sort
 from retailflow.llm.mixing import mix
 from retailflow.llm.packing import pack_documents
+from retailflow.llm.permutation_index import nearest
 from retailflow.llm.quality import quality_report
+from retailflow.llm.warc import archive_pages, index_captures
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_index(spark, sf_dir):
+    index, _ = archive_pages(_table(spark, sf_dir, "pages"))
+    return index_captures(index).select(
+        "page_id",
+        F.col("bytes").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        F.col("kind").alias("record_type"),
+        "refers_to",
+    )
+
+
 def op3_best_fit_packing(spark, sf_dir):
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op6_permutation_index(spark, sf_dir):
+    vectors = _table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 def op7_quality_classifier(spark, sf_dir):
     return quality_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -41,7 +59,9 @@ def op10_content_sort(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_warc_index,
         op3_best_fit_packing,
+        op6_permutation_index,
         op7_quality_classifier,
         op9_source_mixing,
         op10_content_sort,
@@ -51,6 +71,19 @@ QUERIES = {
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE = {
+    "op1_warc_index": """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages
+), q AS (
+  SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest FROM p
+), r AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS last FROM q
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN last IS NULL OR page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM r
+""",
     "op9_source_mixing": r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
