@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from retailflow.llm.content_sort import drop_exact_copies
 from retailflow.llm.mixing import mixed_documents
+from retailflow.llm.order_minhash import drop_near_copies
 from retailflow.llm.packing import pack_documents
 from retailflow.llm.quality import keep_good
 from retailflow.llm.shared import shared_table
@@ -25,6 +26,11 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_exact_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near copies the smallest id stays."""
+    return drop_near_copies(docs)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mixture takes it."""
     return mixed_documents(docs)
@@ -38,6 +44,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality", quality),
     ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
     ("mixing", mixing),
     ("packing", packing),
 ]

@@ -3,8 +3,10 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retailflow.llm.chunking import repeated_chunks
 from retailflow.llm.content_sort import content_sort
 from retailflow.llm.mixing import mix
+from retailflow.llm.order_minhash import near_duplicates
 from retailflow.llm.packing import pack_documents
 from retailflow.llm.permutation_index import nearest
 from retailflow.llm.quality import quality_report
@@ -30,6 +32,10 @@ def op3_best_fit_packing(spark, sf_dir):
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op5_gear_chunks(spark, sf_dir):
+    return repeated_chunks(_table(spark, sf_dir, "documents"))
+
+
 def op6_permutation_index(spark, sf_dir):
     vectors = _table(spark, sf_dir, "embeddings")
     return nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
@@ -39,6 +45,10 @@ def op7_quality_classifier(spark, sf_dir):
     return quality_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_order_minhash(spark, sf_dir):
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_source_mixing(spark, sf_dir):
     rows = mix(_table(spark, sf_dir, "documents"))
     return rows.select(
@@ -61,8 +71,10 @@ QUERIES = {
     for f in (
         op1_warc_index,
         op3_best_fit_packing,
+        op5_gear_chunks,
         op6_permutation_index,
         op7_quality_classifier,
+        op8_order_minhash,
         op9_source_mixing,
         op10_content_sort,
     )
