@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from retailflow.llm.words import row_slices
+
 MAX_FIT_ROWS = 20_000
 HASH_STEPS = 1_000_000
 REJECT_BELOW = 0.3
@@ -207,18 +209,6 @@ def _fold(column):
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % FOLDS
 
 
-def _slices(batch: pa.RecordBatch, limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
-    """Row ranges of about `limit` bytes of text, one row at least."""
-    start = size = 0
-    for i, s in enumerate(pa.compute.binary_length(batch.column(1)).fill_null(0).to_pylist()):
-        if i > start and size + s > limit:
-            yield start, i
-            start, size = i, 0
-        size += s
-    if start < batch.num_rows:
-        yield start, batch.num_rows
-
-
 def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> Trees:
     """Trees from labelled documents outside the held-out fold.
 
@@ -236,8 +226,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in _slices(batch):
-                part = batch.slice(a, b - a)
+            for part in row_slices(batch, 1):
                 x = statistics(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(list(x), pa.list_(pa.float64()))], ["y", "x"])
 
@@ -265,8 +254,7 @@ def score_quality(docs: DataFrame, trees: Trees) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in _slices(batch):
-                part = batch.slice(a, b - a)
+            for part in row_slices(batch, 1):
                 score = shared.value.score(statistics(part.column(1).to_pylist()))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score)], ["doc_id", "score"])
 
@@ -291,9 +279,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pa.RecordBatch.from_arrays([batch.column(place), batch.column(place)], ["a", "b"])
-            for a, b in _slices(texts):
-                part = batch.slice(a, b - a)
+            for part in row_slices(batch, place):
                 score = trees.value.score(statistics(part.column(place).to_pylist()))
                 yield part.filter(pa.array(score >= REJECT_BELOW))
 
