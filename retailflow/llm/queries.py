@@ -10,6 +10,7 @@ from retailflow.llm.order_minhash import near_duplicates
 from retailflow.llm.packing import pack_documents
 from retailflow.llm.permutation_index import nearest
 from retailflow.llm.quality import quality_report
+from retailflow.llm.suffix_dedup import suffix_dedup
 from retailflow.llm.warc import archive_pages, index_captures
 
 
@@ -32,6 +33,10 @@ def op3_best_fit_packing(spark, sf_dir):
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_arrays(spark, sf_dir):
+    return suffix_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op5_gear_chunks(spark, sf_dir):
     return repeated_chunks(_table(spark, sf_dir, "documents"))
 
@@ -71,6 +76,7 @@ QUERIES = {
     for f in (
         op1_warc_index,
         op3_best_fit_packing,
+        op4_suffix_arrays,
         op5_gear_chunks,
         op6_permutation_index,
         op7_quality_classifier,
