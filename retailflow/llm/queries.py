@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retailflow.llm.attention_lm import score_documents
 from retailflow.llm.chunking import repeated_chunks
 from retailflow.llm.content_sort import content_sort
 from retailflow.llm.mixing import mix
@@ -29,6 +30,10 @@ def op1_warc_index(spark, sf_dir):
     )
 
 
+def op2_attention_lm(spark, sf_dir):
+    return score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark, sf_dir):
     return pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -75,6 +80,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_warc_index,
+        op2_attention_lm,
         op3_best_fit_packing,
         op4_suffix_arrays,
         op5_gear_chunks,
