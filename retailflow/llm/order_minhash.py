@@ -178,7 +178,8 @@ def candidates(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def verified(pairs: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """pairs: (a, b). Those whose texts reach the threshold, with their similarity."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("id"), "left_semi")
+    # Ids and pairs grow with the corpus, so neither they nor texts are ever broadcast.
+    texts = docs.select("doc_id", "text").join(ids.hint("merge"), F.col("doc_id") == F.col("id"), "left_semi")
     texts = shared_table(texts, "omh_texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,8 +193,8 @@ def verified(pairs: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) ->
                 keep = pa.array(sims >= threshold)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sims)], ["a", "b", "similarity"]).filter(keep)
 
-    first = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = first.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+    first = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
+    both = first.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, similarity double")
 
 
