@@ -69,10 +69,11 @@ def sketches(raw: list[bytes], tables: int = TABLES, picks: int = PICKS) -> tupl
 
 
 def matched_in_order(a: np.ndarray, b: np.ndarray, least: int) -> int:
-    """Length of the longest common subsequence, or less than `least` if it is below that.
+    """Length of an alignment, `least` or more if the longest common subsequence is.
 
-    Shingles are first matched one to one by value and count. If the matches ascend, they are the
-    answer. Otherwise rows of a band are filled: outside it too much would be left unmatched.
+    Shingles are first matched one to one by value and count; their longest ascending run is the
+    answer if it is long enough (the longest of all where no shingle repeats). Otherwise rows of
+    a band are filled: outside it too much would be left unmatched.
     """
     start = 0
     stop = min(len(a), len(b))
@@ -120,7 +121,7 @@ def _banded(a: np.ndarray, b: np.ndarray, unmatched: int) -> int:
 
 
 def similarity(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
-    """Of two shingle sequences; exact if it reaches the threshold."""
+    """Of two shingle sequences; at the threshold or above just if their best alignment is."""
     total = len(a) + len(b)
     if not total:
         return 1.0

@@ -68,6 +68,12 @@ def statistics(texts: list[str | None]) -> np.ndarray:
     out["comma"] = _per(data == ord(","), first, last) / whole
     out["stop"] = _per((data == ord(".")) | (data == ord("!")) | (data == ord("?")), first, last) / whole
 
+    seen = np.zeros((n, 256), bool)
+    own = np.ones(len(data), bool)
+    own[last] = False  # the spaces between texts
+    seen[np.repeat(np.arange(n), size), data[own]] = True
+    out["distinct_bytes"] = seen.sum(1).astype(float)
+
     letter = kind < 6
     begin = np.flatnonzero(letter & ~np.concatenate(([False], letter[:-1])))
     if not len(begin):
@@ -122,17 +128,9 @@ def statistics(texts: list[str | None]) -> np.ndarray:
         worst = np.zeros(n)
         np.maximum.at(worst, doc[window], np.add.reduceat(flags.astype(float), window) / np.maximum(held, 16))
         out[name] = worst
-    out["distinct_bytes"] = _distinct_bytes(data, first, last, n)
     return np.stack([out[name] for name in FEATURES], 1)
 
 
-def _distinct_bytes(data, first, last, n):
-    seen = np.zeros((n, 256), bool)
-    owner = np.repeat(np.arange(n), last - first + 1)
-    seen[owner, data] = True
-    return seen.sum(1).astype(float)
-
-
 @dataclass
 class Trees:
     """Trees as arrays: node i of tree t tests feature[t, i] <= cut[t, i], children 2i+1, 2i+2."""

@@ -45,10 +45,9 @@ def reversed_host_key(url: str | None) -> str:
     if not host:
         return text
     host = re.sub(r"^www\d*\.", "", host)
-    if port and (parts.scheme.lower(), port) not in (("http", 80), ("https", 443)):
-        host += f":{port}"
+    usual = port is None or (parts.scheme.lower(), port) in (("http", 80), ("https", 443))
     query = f"?{parts.query}" if parts.query else ""
-    return ",".join(reversed(host.split("."))) + ")" + (parts.path or "/") + query
+    return ",".join(reversed(host.split("."))) + ("" if usual else f":{port}") + ")" + (parts.path or "/") + query
 
 
 def planned_records(pages: DataFrame) -> DataFrame:
