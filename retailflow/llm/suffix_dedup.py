@@ -248,9 +248,16 @@ def _cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in row_slices(batch, 2):
             found = stretches(_raw(part, 2))
-            owner = pa.array(found["text"])
-            columns = [part.column(0).take(owner), part.column(1).take(owner), pa.array(found["core"])]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "body", "core"])
+            # Each core of a text once: a text that repeats itself may hold one very often.
+            order = np.lexsort((found["core"], found["text"]))
+            text, core = found["text"][order], found["core"][order]
+            new = np.ones(len(text), bool)
+            new[1:] = (text[1:] != text[:-1]) | (core[1:] != core[:-1])
+            head = np.flatnonzero(new)
+            owner = pa.array(text[head])
+            columns = [part.column(0).take(owner), part.column(1).take(owner), pa.array(core[head])]
+            times = pa.array(np.diff(np.append(head, len(text))))
+            yield pa.RecordBatch.from_arrays([*columns, times], ["doc_id", "body", "core", "times"])
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,8 +338,9 @@ def _merge(table: pa.Table) -> pa.Table:
 def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, body, start, end) of byte spans to remove, maybe overlapping, and the candidate rows."""
     rows = _rows(docs)
-    cores = shared_table(rows.mapInArrow(_cores, "doc_id long, body long, core long"), "suffix_cores")
-    twice = cores.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
+    cores = rows.mapInArrow(_cores, "doc_id long, body long, core long, times long")
+    cores = shared_table(cores, "suffix_cores")
+    twice = cores.groupBy("core").agg(F.sum("times").alias("n")).where("n > 1").select("core")
     wanted = cores.join(twice, "core").groupBy("doc_id", "body").agg(F.collect_set("core").alias("cores"))
     wanted = wanted.select(F.col("doc_id").alias("w_id"), F.col("body").alias("w_body"), "cores")
     same = F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("body") == F.col("w_body"))
