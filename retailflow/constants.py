@@ -53,3 +53,9 @@ EVENT_SCHEMA = T.StructType([
 ])
 
 # ---- End of fixed values ----
+
+# Compaction by default: about the size of a file.
+COMPACTED_BYTES = 512 << 20
+
+# Runs of one month are told apart by these in tables that keep their history.
+RUN_PARTITIONS = ["extraction_date", "Extraction_Hour"]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 AS_OF = "2000-06-30"
+LATER_RUN = "2001-01-15"
 
 SPARK_DIALECT = {
     "order_day": "date_format(o_orderdate, 'yyyy-M-d')",

@@ -90,9 +90,16 @@ def group_counts(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def partition_sizes(df: DataFrame) -> DataFrame:
-    """Rows in each non-empty partition."""
-    return df.groupBy(F.spark_partition_id().alias("partition_id")).agg(
-        F.count("*").alias("rows")
+    """Rows in each partition, the empty ones with 0: as many rows as `df` has partitions.
+
+    Partitions are those `df` has as it stands; where adaptive execution would
+    join small ones, repartition to a number first.
+    """
+    spark = df.sparkSession
+    held = df.groupBy(F.spark_partition_id().alias("_held")).agg(F.count("*").alias("rows"))
+    every = spark.range(df.rdd.getNumPartitions()).select(F.col("id").cast("int").alias("partition_id"))
+    return every.join(held, F.col("partition_id") == F.col("_held"), "left").select(
+        "partition_id", F.coalesce("rows", F.lit(0)).alias("rows")
     )
 
 

@@ -83,26 +83,15 @@ def lowest_online_cities(fact: DataFrame, location: DataFrame, n: int = 10) -> D
     )
 
 
-def join_agents(sales: DataFrame, agents: DataFrame, spread: int = 16) -> DataFrame:
+def join_agents(sales: DataFrame, agents: DataFrame) -> DataFrame:
     """Every sale with its agent; sales without a known agent drop out.
 
-    One agent may hold a large share of the sales. Where the agents are too
-    many to be broadcast (Spark decides by size), each agent row is copied
-    `spread` times and the sales of one agent go to `spread` tasks, picked by a
-    hash of the sale so that a retried task picks the same ones.
+    One agent may hold a large share of the sales. Few agents are broadcast
+    (Spark decides by their size); with many, adaptive execution splits the sales
+    of a hot agent over several tasks.
     """
-    sales_cols, agent_cols = sales.columns, agents.columns
-    hashed = F.xxhash64("transaction_id", "customer_id", "product_id")
-    # Never NULL, which spares Spark a null check on it below the join.
-    slot = F.coalesce(F.pmod(hashed, F.lit(spread)).cast("int"), F.lit(0))
-    spread_sales = sales.withColumn("_slot", slot)
-    spread_agents = agents.withColumn(
-        "_agent_slot", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
-    )
-    same = (F.col("sales_agent_id") == F.col("sales_person_id")) & (
-        F.col("_slot") == F.col("_agent_slot")
-    )
-    return spread_sales.join(spread_agents, same).select(*sales_cols, *agent_cols)
+    same = F.col("sales_agent_id") == F.col("sales_person_id")
+    return sales.join(agents, same).select(*sales.columns, *agents.columns)
 
 
 def agent_product_units(sales: DataFrame, agents: DataFrame) -> DataFrame:

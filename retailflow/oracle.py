@@ -5,7 +5,7 @@ and sums are DuckDB's own.
 """
 
 from retailflow import fixtures as fx
-from retailflow.fixtures import AS_OF, duckdb_sql
+from retailflow.fixtures import AS_OF, LATER_RUN, duckdb_sql
 
 RAW_COLUMNS = """transaction_id, customer_id, customer_fname, cusomter_lname, cusomter_email,
   sales_agent_id, branch_id, product_id, product_name, product_category,
@@ -138,9 +138,15 @@ _NULL_COUNTS = " UNION ALL ".join(
     for c in RAW_COLUMNS.split(",")
 )
 
+_TWO_RUNS = f"""SELECT "Extraction_Year" AS y, "Extraction_Month" AS m FROM clean
+  UNION ALL SELECT CAST(year(DATE '{LATER_RUN}') AS int), CAST(month(DATE '{LATER_RUN}') AS int)
+  FROM clean WHERE is_online = 'yes'"""
+
 ORACLE = {
     "landing_csv_scan": _all_of("raw"),
     "agents_csv_scan": _all_of("agents"),
+    "landing_mixed_headers": _sql(
+        """SELECT *, CASE WHEN is_online <> 'yes' THEN 'web' END AS source FROM raw""", "raw"),
     "landing_prefix_counts": _sql(
         """SELECT 'sales_transactions' AS entity, '09' AS hour, count(*) AS rows FROM raw
         UNION ALL SELECT 'branches', '10', count(*) FROM branches
@@ -150,11 +156,17 @@ ORACLE = {
     "bucketed_table_roundtrip": _all_of("clean"),
     "dim_append_roundtrip": _sql(
         "SELECT * FROM customer_dim UNION ALL SELECT * FROM customer_dim", "customer_dim"),
-    "dim_incremental": _all_of("product_dim"),
+    "dim_incremental": _sql(
+        """SELECT product_id, CASE WHEN CAST(product_id AS bigint) % 2 = 0 THEN product_name
+          ELSE product_name || ' (new)' END AS product_name, product_category FROM product_dim
+        UNION ALL SELECT NULL, 'No key', 'None' WHERE EXISTS (FROM product_dim)""",
+        "product_dim"),
     "fact_partition_roundtrip": _all_of("fact"),
     "daily_dump_roundtrip": _SOLD_BY_AGENT,
+    "daily_two_hours": _SOLD_BY_AGENT,
     "stream_sink_roundtrip": _all_of("stored"),
     "compact_events": _all_of("stored"),
+    "compact_events_two_files": _all_of("stored"),
     "describe_fact": f"""SELECT column_name AS col_name,
       CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int'
         ELSE lower(column_type) END AS data_type
@@ -172,12 +184,16 @@ ORACLE = {
         """SELECT product_id, transaction_id, units FROM raw QUALIFY row_number() OVER
         (PARTITION BY product_id ORDER BY transaction_id, units) = 1""", "raw"),
     "distinct_extraction_periods": _sql(
-        """SELECT count(DISTINCT "Extraction_Year") AS "distinct_Extraction_Year",
-        count(DISTINCT "Extraction_Month") AS "distinct_Extraction_Month" FROM clean""",
-        "clean"),
+        f"""SELECT count(DISTINCT y) AS "distinct_Extraction_Year",
+        count(DISTINCT m) AS "distinct_Extraction_Month" FROM ({_TWO_RUNS})""", "clean"),
     "rows_per_month": _sql(
-        """SELECT "Extraction_Month", count(*) AS "count" FROM clean
-        GROUP BY "Extraction_Month\"""", "clean"),
+        f"""SELECT m AS "Extraction_Month", count(*) AS "count" FROM ({_TWO_RUNS})
+        GROUP BY m""", "clean"),
+    "partition_sizes": _sql(
+        "SELECT CAST(32 AS bigint) AS partitions, count(*) AS rows FROM clean", "clean"),
+    "partition_profile": _sql(
+        """SELECT branch_id AS value, CAST(1 AS bigint) AS partitions, count(*) AS rows
+        FROM clean GROUP BY branch_id""", "clean"),
     "fill_defaults": _all_of("filled"),
     "discount_ladder": _sql(
         f"""SELECT transaction_id, offer_1, offer_2, offer_3, offer_4, offer_5,
@@ -242,3 +258,17 @@ ORACLE = {
         """SELECT "eventType", count(*) AS "count" FROM stored GROUP BY "eventType\"""",
         "stored"),
 }
+
+
+def _in_one_shape(report, item, detail, value):
+    return f"""SELECT '{report}' AS report, {item} AS item, CAST({detail} AS varchar) AS detail,
+      CAST({value} AS double) AS value FROM ({ORACLE[report]})"""
+
+
+ORACLE["hourly_reports_stored"] = " UNION ALL ".join([
+    _in_one_shape("top_products", "product_name", "NULL", "total_sold_units"),
+    _in_one_shape("offer_redemptions", "offer", "NULL", "total_redeemed"),
+    _in_one_shape(
+        "best_offer_per_product", "product_name", "most_redeemed_offer", "total_redeemed"),
+    _in_one_shape("lowest_online_cities", "city", "NULL", "online_sales"),
+])

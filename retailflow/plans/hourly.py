@@ -4,6 +4,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from retailflow import operators as op
 from retailflow import sources as src
@@ -51,23 +52,40 @@ def run_hourly(
     as_of: date | str,
     hour: int | str,
     buckets: int = WIDE_TABLE_BUCKETS,
+    keep_history: bool = True,
 ) -> HourlyTables:
     """Clean one hour of sales and load it.
 
     The clean-up shuffle runs once, for the wide table. The star schema is then
-    built from that table, each dimension scanning its own columns only.
+    built from the rows of this run in that table, each dimension scanning its own
+    columns. Loading an hour again replaces what it loaded before. Customers and
+    products have one row per key, the first loaded.
+
+    Without `keep_history` the wide table holds this run only and facts are
+    appended as they come.
     """
     tables = HourlyTables(database)
     src.ensure_database(spark, database)
     raw = src.read_landing(spark, base, "sales_transactions", as_of, hour)
-    src.write_wide_table(op.clean_sales(raw, as_of), tables.wide, buckets)
-
-    wide = spark.table(tables.wide)
-    src.load_dim(op.customer_dim(wide), tables.customer)
-    src.load_dim(op.product_dim(wide), tables.product)
+    cleaned = op.clean_sales(raw, as_of)
+    if keep_history:
+        src.load_wide_run(cleaned, tables.wide, as_of, hour, buckets)
+        this_run = (F.col("extraction_date") == F.lit(as_of).cast("date")) & (
+            F.col("Extraction_Hour") == int(hour)
+        )
+        wide = spark.table(tables.wide).where(this_run)
+    else:
+        src.write_wide_table(cleaned, tables.wide, buckets)
+        wide = spark.table(tables.wide)
+
+    src.load_dim(op.customer_dim(wide), tables.customer, ["customer_id"])
+    src.load_dim(op.product_dim(wide), tables.product, ["product_id"])
     src.load_dim(op.location_dim(wide), tables.location)
     src.load_dim(op.date_dim(wide), tables.date)
-    src.append_fact(op.fact(wide), tables.fact)
+    if keep_history:
+        src.load_fact_run(op.fact(wide), tables.fact, as_of, hour)
+    else:
+        src.append_fact(op.fact(wide), tables.fact)
     return tables
 
 

@@ -5,10 +5,14 @@ from .warehouse import (
     append_dim,
     append_fact,
     describe_table,
+    drop_database,
     dump_csv,
     ensure_database,
     list_databases,
     load_dim,
+    load_fact_run,
+    load_wide_run,
+    read_csv_dump,
     read_orc_table,
     write_wide_table,
 )
@@ -18,11 +22,15 @@ __all__ = [
     "append_fact",
     "compact",
     "describe_table",
+    "drop_database",
     "dump_csv",
     "ensure_database",
     "landing_hours",
     "list_databases",
     "load_dim",
+    "load_fact_run",
+    "load_wide_run",
+    "read_csv_dump",
     "read_entity",
     "read_landing",
     "read_orc_table",

@@ -1,12 +1,13 @@
 """Many small Parquet files into few."""
 
+import uuid
 from math import ceil
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from retailflow.constants import COMPACTED_FILES
+from retailflow.constants import COMPACTED_BYTES
 
 
 def _bytes_below(spark: SparkSession, path: str) -> int:
@@ -19,18 +20,22 @@ def compact(
     spark: SparkSession,
     src: str,
     dst: str,
-    files: int = COMPACTED_FILES,
-    target_bytes: int | None = None,
+    files: int | None = None,
+    target_bytes: int = COMPACTED_BYTES,
 ) -> None:
-    """Rewrite the Parquet folder `src` into `dst`, which is overwritten.
+    """Rewrite the Parquet folder `src` into `dst`, which is replaced.
 
-    With `files`, rows are dealt out evenly to that many files. For large data
-    give `target_bytes` instead: the number of files then follows the size of
-    the input, and each task joins neighbouring small files without a shuffle.
+    The number of files follows the size of the input, and each task joins
+    neighbouring small files without a shuffle. With `files`, rows are dealt out
+    evenly to that many files instead, so that many tasks write everything.
     The root folder is read, so leftovers of failed stream batches, which the
     sink's log does not list, stay out.
+
+    The result is written beside `dst` and takes its place only when it is
+    complete; until then `dst` is untouched.
     """
-    if _same_or_nested(src, dst):
+    a, b = (f"{resolved(spark, p)}/" for p in (src, dst))
+    if a.startswith(b) or b.startswith(a):
         raise ValueError(f"compaction of {src} would overwrite its own input at {dst}")
     try:
         events = spark.read.parquet(src)
@@ -38,17 +43,47 @@ def compact(
         if e.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"compaction input {src} does not exist") from e
         raise
-    if target_bytes is None:
-        out = events.repartition(files)
-    else:
+    if files is None:
         out = events.coalesce(max(1, ceil(_bytes_below(spark, src) / target_bytes)))
-    out.write.mode("overwrite").parquet(dst)
+    else:
+        out = events.repartition(files)
+    aside = f"{dst.rstrip('/')}-{uuid.uuid4().hex}"
+    out.write.parquet(aside)
+    _replace(spark, aside, dst)
 
 
-def _same_or_nested(src: str, dst: str) -> bool:
-    a, b = f"{_plain(src)}/", f"{_plain(dst)}/"
-    return a.startswith(b) or b.startswith(a)
+def _path(spark: SparkSession, path: str):
+    """A Hadoop path and its file system."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _plain(path: str) -> str:
-    return path.removeprefix("file:").replace("///", "/").rstrip("/")
+def resolved(spark: SparkSession, path: str) -> str:
+    """One name for each folder, however it is written: scheme, authority, dots, links.
+
+    What does not exist yet is resolved as far as it does.
+    """
+    hadoop, fs = _path(spark, path)
+    if fs.getUri().getScheme() == "file":
+        return "file:" + spark._jvm.java.io.File(hadoop.toUri().getPath()).getCanonicalPath()
+    full = spark._jvm.org.apache.hadoop.fs.Path(fs.makeQualified(hadoop).toUri().normalize())
+    missing = []
+    while not fs.exists(full) and full.getParent() is not None:
+        missing.insert(0, full.getName())
+        full = full.getParent()
+    return "/".join([fs.resolvePath(full).toString().rstrip("/"), *missing])
+
+
+def _replace(spark: SparkSession, aside: str, dst: str) -> None:
+    """Put the folder `aside` in the place of `dst`."""
+    new, fs = _path(spark, aside)
+    place, _ = _path(spark, dst)
+    if not fs.exists(place):
+        moved = fs.rename(new, place)
+    else:
+        old, _ = _path(spark, f"{aside}-old")
+        moved = fs.rename(place, old) and fs.rename(new, place)
+        if moved:
+            fs.delete(old, True)
+    if not moved:
+        raise OSError(f"{aside} is complete but could not be moved to {dst}")

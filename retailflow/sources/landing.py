@@ -1,20 +1,55 @@
 """CSV landing zone: `<base>/date(YYYY-MM-DD)/<entity>..._<HH>.csv`.
 
-Names come from the header and every column is text: nothing is inferred from
-the values, so no extra pass over the files is made, and optional columns
-stay optional.
+Names come from the header of each file and every column is text: nothing is
+inferred from the values, so no extra pass over the files is made. Files may
+order their columns differently or lack optional ones: those with the same
+header are read together, and a column that a file lacks is NULL in its rows.
 """
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retailflow.constants import LANDING_FILES
 
+LANDING_FILE = "landing_file"
 
-def _read_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", True).csv(path)
+
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header. Spark reads one line of each file for that."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    # Empty files have no header and no rows; the parts of a dump among them.
+    files = [r.path for r in listed.where("length > 0").select("path").collect()]
+
+    def header(file: str) -> tuple[str, ...]:
+        return tuple(spark.read.option("header", True).csv(file).columns)
+
+    with ThreadPoolExecutor(8) as pool:
+        headers = list(pool.map(header, sorted(files)))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, names in zip(sorted(files), headers):
+        groups.setdefault(names, []).append(file)
+    return groups
+
+
+def _read_csv(spark: SparkSession, path: str, with_file: bool = False) -> DataFrame:
+    groups = _headers(spark, path)
+    if not groups:
+        return spark.read.option("header", True).csv(path)
+    parts = []
+    for names, files in groups.items():
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        part = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(files)
+        if with_file:
+            part = part.withColumn(LANDING_FILE, F.col("_metadata.file_path"))
+        parts.append(part)
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part, allowMissingColumns=True)
+    return whole
 
 
 def landing_day(base: str, day: date | str) -> str:
@@ -22,33 +57,41 @@ def landing_day(base: str, day: date | str) -> str:
 
 
 def read_landing(
-    spark: SparkSession, base: str, kind: str, day: date | str, hour: int | str | None = None
+    spark: SparkSession,
+    base: str,
+    kind: str | None,
+    day: date | str,
+    hour: int | str | None = None,
 ) -> DataFrame:
-    """One day of an entity, or one hour of that day.
+    """One day of an entity, or one hour of that day; the whole folder if `kind` is None.
 
     Spark reports a day or an hour without files as PATH_NOT_FOUND, with the path.
     """
     folder = landing_day(base, day)
-    if hour is None:
+    if kind is None:
+        if hour is not None:
+            raise ValueError("an hour is read of one entity")
         return _read_csv(spark, folder)
-    return _read_csv(spark, f"{folder}/{LANDING_FILES[kind]}_{int(hour):02d}.csv")
+    ending = "*.csv" if hour is None else f"_{int(hour):02d}.csv"
+    return _read_csv(spark, f"{folder}/{LANDING_FILES[kind]}{ending}".replace("**", "*"))
 
 
-def read_entity(spark: SparkSession, base: str, prefix: str) -> DataFrame:
+def read_entity(
+    spark: SparkSession, base: str, prefix: str, with_file: bool = False
+) -> DataFrame:
     """The files of one entity from a folder where several are mixed.
 
     The name prefix chooses the entity while the folder is listed, so other
-    files are not opened.
+    files are not opened. `with_file` adds the file of each row as a column.
     """
     if prefix not in LANDING_FILES:
         raise ValueError(f"no entity {prefix!r}; known: {', '.join(LANDING_FILES)}")
-    return _read_csv(spark, f"{base.rstrip('/')}/{prefix}*")
+    return _read_csv(spark, f"{base.rstrip('/')}/{prefix}*", with_file)
 
 
 def landing_hours(df: DataFrame) -> DataFrame:
-    """Rows by the hour in the name of the file they came from."""
-    per_file = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
-        F.count("*").alias("rows")
-    )
-    hour = F.regexp_extract("file", r"_(\d{2})\.csv", 1)
+    """Rows by the hour in the name of the file they came from (`read_entity` with_file)."""
+    per_file = df.groupBy(LANDING_FILE).agg(F.count("*").alias("rows"))
+    # The last such part of the path; a folder above may have a name like it.
+    hour = F.regexp_extract(LANDING_FILE, r".*_(\d{2})\.csv", 1)
     return per_file.groupBy(hour.alias("hour")).agg(F.sum("rows").alias("rows"))

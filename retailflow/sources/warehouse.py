@@ -1,9 +1,12 @@
 """ORC tables of the warehouse and the CSV report dump."""
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailflow.constants import EXTRACTION_PARTITIONS, WIDE_TABLE_BUCKETS
+from retailflow.constants import EXTRACTION_PARTITIONS, RUN_PARTITIONS, WIDE_TABLE_BUCKETS
+from retailflow.operators.quality import dedup_by_key
 from retailflow.operators.star import rows_not_in
 
 
@@ -25,19 +28,21 @@ def read_orc_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).orc(path)
 
 
-def write_wide_table(df: DataFrame, name: str, buckets: int = WIDE_TABLE_BUCKETS) -> None:
-    """Overwrite the cleaned table: partitioned by run month, bucketed by product name.
+def _by_bucket(df: DataFrame, partitions: list[str], buckets: int) -> DataFrame:
+    """Rows brought together by partition and bucket.
 
-    Rows are first brought together by partition and bucket, so that a task
-    writes one bucket instead of a piece of all of them. REBALANCE leaves the
-    sizes to adaptive execution: a bucket with a hot product is split over
-    several tasks, small ones share a task. Take more buckets for more data.
+    So a task writes one bucket instead of a piece of all of them. REBALANCE
+    leaves the sizes to adaptive execution: a bucket with a hot product is split
+    over several tasks, small ones share a task. Take more buckets for more data.
     """
     bucket = F.pmod(F.hash("product_name"), F.lit(buckets))
+    return df.withColumn("_bucket", bucket).hint("rebalance", *partitions, "_bucket").drop("_bucket")
+
+
+def write_wide_table(df: DataFrame, name: str, buckets: int = WIDE_TABLE_BUCKETS) -> None:
+    """Overwrite the cleaned table: partitioned by run month, bucketed by product name."""
     (
-        df.withColumn("_bucket", bucket)
-        .hint("rebalance", *EXTRACTION_PARTITIONS, "_bucket")
-        .drop("_bucket")
+        _by_bucket(df, EXTRACTION_PARTITIONS, buckets)
         .write.format("orc")
         .partitionBy(*EXTRACTION_PARTITIONS)
         .bucketBy(buckets, "product_name")
@@ -47,6 +52,56 @@ def write_wide_table(df: DataFrame, name: str, buckets: int = WIDE_TABLE_BUCKETS
     )
 
 
+def _as_run(df: DataFrame, as_of, hour) -> DataFrame:
+    """Rows with the key of their run as the last columns."""
+    return df.withColumns({
+        "extraction_date": F.lit(as_of).cast("date"),
+        "Extraction_Hour": F.lit(int(hour)),
+    })
+
+
+def _replace_run(df: DataFrame, name: str, as_of, hour) -> None:
+    """Insert a run into a table that exists; the same run loaded before is replaced."""
+    spark = df.sparkSession
+    day = date.fromisoformat(str(as_of))
+    run = {
+        "Extraction_Year": day.year,
+        "Extraction_Month": day.month,
+        "extraction_date": f"DATE '{day}'",
+        "Extraction_Hour": int(hour),
+    }
+    partition = ", ".join(f"{c} = {run[c]}" for c in EXTRACTION_PARTITIONS + RUN_PARTITIONS)
+    rows = df.select(*[c for c in spark.table(name).columns if c not in run])
+    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({partition}) SELECT * FROM {{rows}}", rows=rows)
+
+
+def load_wide_run(
+    df: DataFrame, name: str, as_of, hour, buckets: int = WIDE_TABLE_BUCKETS
+) -> None:
+    """Add the rows of one run to the cleaned table, in the place of the same run loaded before.
+
+    The table is partitioned by run month, date and hour and bucketed by product
+    name; other runs are not touched, so the table keeps its history.
+    """
+    partitions = EXTRACTION_PARTITIONS + RUN_PARTITIONS
+    rows = _by_bucket(_as_run(df, as_of, hour), partitions, buckets)
+    if df.sparkSession.catalog.tableExists(name):
+        _replace_run(rows, name, as_of, hour)
+    else:
+        writer = rows.write.format("orc").partitionBy(*partitions)
+        writer.bucketBy(buckets, "product_name").sortBy("product_name").saveAsTable(name)
+
+
+def load_fact_run(df: DataFrame, name: str, as_of, hour) -> None:
+    """Add the facts of one run, in the place of the same run loaded before."""
+    partitions = EXTRACTION_PARTITIONS + RUN_PARTITIONS
+    rows = _as_run(df, as_of, hour)
+    if df.sparkSession.catalog.tableExists(name):
+        _replace_run(rows, name, as_of, hour)
+    else:
+        rows.write.format("orc").partitionBy(*partitions).saveAsTable(name)
+
+
 def append_dim(df: DataFrame, name: str) -> None:
     """Append all rows, also those the table already has (see `load_dim`)."""
     df.write.format("orc").mode("append").saveAsTable(name)
@@ -65,19 +120,50 @@ def append_fact(df: DataFrame, name: str) -> None:
 def load_dim(df: DataFrame, name: str, keys: list[str] | None = None) -> None:
     """Append only what the dimension lacks, so a repeated load adds nothing.
 
-    Reports join on dimensions; a row loaded twice would double their sums.
+    Reports join on dimensions; a row loaded twice would double their sums. With
+    `keys` there is one row per key, a NULL key being one: the row loaded first
+    stays, and of several in one load the smallest by the other columns. Without
+    `keys` whole rows are compared.
     """
     spark = df.sparkSession
     if spark.catalog.tableExists(name):
         df = rows_not_in(df, spark.table(name), keys)
+    elif keys is not None:
+        df = dedup_by_key(df, keys)
     append_dim(df, name)
 
 
 def dump_csv(df: DataFrame, path: str, mode: str = "error", files: int | None = None) -> None:
-    """Write a report as CSV with a header.
+    """Write a report as CSV with a header; every value reads back as it was.
 
     Adaptive execution puts a small report into one file. `files` fixes the
-    number; the work before the write keeps its own parallelism.
+    number; the work before the write keeps its own parallelism. Text with a
+    line break is refused: it would need files that can't be split.
     """
     out = df if files is None else df.repartition(files)
-    out.write.option("header", True).mode(mode).csv(path)
+    texts = [f.name for f in df.schema if f.dataType.typeName() == "string"]
+    out = out.withColumns({c: _one_line(F.col(f"`{c}`"), c) for c in texts})
+    (
+        out.write.option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .option("escape", '"')
+        .mode(mode)
+        .csv(path)
+    )
+
+
+def _one_line(text, name: str):
+    broken = text.contains("\n") | text.contains("\r")
+    return F.when(broken, F.raise_error(F.lit(f"a line break in column {name}"))).otherwise(text)
+
+
+def read_csv_dump(spark: SparkSession, path: str) -> DataFrame:
+    """A dump as text columns; what stands unquoted and empty is NULL, quoted it is empty text."""
+    reader = spark.read.option("header", True).option("escape", '"')
+    return reader.option("nullValue", "\u0000").csv(path)
+
+
+def drop_database(spark: SparkSession, db: str) -> None:
+    """A database with its tables and their files."""
+    spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")

@@ -10,13 +10,24 @@ from retailflow import operators as op
 from retailflow import plans
 from retailflow import sources as src
 from retailflow import streaming as st
-from retailflow.fixtures import AS_OF
+from retailflow.constants import COMPACTED_FILES
+from retailflow.fixtures import AS_OF, LATER_RUN
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
 
+SCRATCH_DATABASE = "retail_"
+
+
+def drop_scratch_databases(spark: SparkSession) -> None:
+    """Drop what the queries stored, once their results have been read."""
+    for row in src.list_databases(spark).collect():
+        if row.namespace.startswith(SCRATCH_DATABASE):
+            src.drop_database(spark, row.namespace)
+
+
 def query(build: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         # Event times carry no zone, and the checks read them as UTC.
@@ -54,7 +65,7 @@ def _plain(events):
 def _new_database(spark):
     """A database of its own in a new folder; returns its name and the folder."""
     folder = src.scratch_dir(spark)
-    name = "retail_" + "".join(c if c.isalnum() else "_" for c in folder.rsplit("/", 1)[-1])
+    name = SCRATCH_DATABASE + "".join(c if c.isalnum() else "_" for c in folder.rsplit("/", 1)[-1])
     src.ensure_database(spark, name, folder)
     return name, folder
 
@@ -78,10 +89,24 @@ def landing_csv_scan(spark, sf_dir):
 @query
 def agents_csv_scan(spark, sf_dir):
     base = src.scratch_dir(spark)
-    src.dump_csv(fx.raw_agents(spark, sf_dir), f"{base}/date({AS_OF})")
+    day = f"{base}/date({AS_OF})"
+    src.dump_csv(fx.raw_agents(spark, sf_dir), f"{day}/sales_agents_SS_raw_1_10.csv")
+    src.dump_csv(fx.raw_branches(spark, sf_dir), f"{day}/branches_SS_raw_1_10.csv")
     return src.read_landing(spark, base, "sales_agents", AS_OF)
 
 
+@query
+def landing_mixed_headers(spark, sf_dir):
+    """Two files of one hour: other column orders, and a column that one of them lacks."""
+    raw = fx.raw_sales(spark, sf_dir)
+    base = src.scratch_dir(spark)
+    file = f"{base}/date({AS_OF})/sales_transactions_SS_raw"
+    online = F.col("is_online") == "yes"
+    src.dump_csv(raw.filter(online).select(*reversed(raw.columns)), f"{file}_1_09.csv")
+    src.dump_csv(raw.filter(~online).withColumn("source", F.lit("web")), f"{file}_2_09.csv")
+    return src.read_landing(spark, base, "sales_transactions", AS_OF, 9)
+
+
 @query
 def landing_prefix_counts(spark, sf_dir):
     """Rows by entity and landing hour from one folder with all entities in it."""
@@ -92,7 +117,7 @@ def landing_prefix_counts(spark, sf_dir):
     src.dump_csv(fx.raw_agents(spark, sf_dir), f"{base}/returns_1_10.csv")
 
     def counts(prefix):
-        rows = src.landing_hours(src.read_entity(spark, base, prefix))
+        rows = src.landing_hours(src.read_entity(spark, base, prefix, with_file=True))
         return rows.select(F.lit(prefix).alias("entity"), "hour", "rows")
 
     return counts("sales_transactions").union(counts("branches")).union(counts("sales_agents"))
@@ -129,12 +154,21 @@ def dim_append_roundtrip(spark, sf_dir):
 
 @query
 def dim_incremental(spark, sf_dir):
-    """Loading the same products again adds none."""
+    """Half of the products, then all of them renamed, each load with a NULL key: one row per key."""
     database, _ = _new_database(spark)
     name = f"{database}.product1_dim"
     products = op.product_dim(_derived(spark, sf_dir))
-    src.load_dim(products, name)
-    src.load_dim(products, name)
+    no_key = products.select(
+        F.lit(None).cast("string").alias("product_id"),
+        F.lit("No key").alias("product_name"),
+        F.lit("None").alias("product_category"),
+    ).distinct()
+    half = products.filter(F.col("product_id").cast("long") % 2 == 0)
+    renamed = products.unionByName(no_key).withColumn(
+        "product_name", F.concat("product_name", F.lit(" (new)"))
+    )
+    src.load_dim(half.unionByName(no_key), name, ["product_id"])
+    src.load_dim(renamed, name, ["product_id"])
     return spark.table(name)
 
 
@@ -151,9 +185,65 @@ def daily_dump_roundtrip(spark, sf_dir):
     path = f"{src.scratch_dir(spark)}/{AS_OF}"
     report = plans.daily_report(_cleaned(spark, sf_dir), fx.raw_agents(spark, sf_dir))
     src.dump_csv(report, path)
-    return spark.read.option("header", True).csv(path).withColumn(
-        "total_sold_units", F.col("total_sold_units").cast("double")
+    return _dumped(spark, path)
+
+
+def _dumped(spark, path):
+    units = F.col("total_sold_units").cast("double")
+    return src.read_csv_dump(spark, path).withColumn("total_sold_units", units)
+
+
+def _landed_hours(spark, sf_dir, base):
+    """Online sales in hour 8, the others in hour 9."""
+    raw = fx.raw_sales(spark, sf_dir)
+    online = F.col("is_online") == "yes"
+    for hour, rows in (("08", raw.filter(online)), ("09", raw.filter(~online))):
+        src.dump_csv(rows, f"{base}/date({AS_OF})/sales_transactions_SS_raw_1_{hour}.csv")
+
+
+def stored_tables(spark, sf_dir):
+    """The star schema of two hours, one of them loaded twice; returns its table names."""
+    database, folder = _new_database(spark)
+    _landed_hours(spark, sf_dir, f"{folder}/landing")
+    for hour in (8, 9, 8):
+        tables = plans.run_hourly(spark, f"{folder}/landing", database, AS_OF, hour)
+    return tables
+
+
+@query
+def daily_two_hours(spark, sf_dir):
+    """The daily report over all hours that the wide table keeps."""
+    tables = stored_tables(spark, sf_dir)
+    base = src.scratch_dir(spark)
+    src.dump_csv(
+        fx.raw_agents(spark, sf_dir), f"{base}/agents/date({AS_OF})/sales_agents_SS_raw_1_00.csv"
+    )
+    path = plans.run_daily(
+        spark, tables.wide, f"{base}/agents", AS_OF, f"{base}/reports", AS_OF
     )
+    return _dumped(spark, path)
+
+
+@query
+def hourly_reports_stored(spark, sf_dir):
+    """The four reports from the stored tables, in one shape."""
+    reports = plans.hourly_reports(spark, stored_tables(spark, sf_dir))
+    shapes = {
+        "top_products": ("product_name", F.lit(None), "total_sold_units"),
+        "offer_redemptions": ("offer", F.lit(None), "total_redeemed"),
+        "best_offer_per_product": ("product_name", F.col("most_redeemed_offer"), "total_redeemed"),
+        "lowest_online_cities": ("city", F.lit(None), "online_sales"),
+    }
+    parts = [
+        reports[name].select(
+            F.lit(name).alias("report"),
+            F.col(item).alias("item"),
+            detail.cast("string").alias("detail"),
+            F.col(value).cast("double").alias("value"),
+        )
+        for name, (item, detail, value) in shapes.items()
+    ]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
 
 
 @query
@@ -175,6 +265,14 @@ def compact_events(spark, sf_dir):
     return _plain(st.read_events(spark, f"{folder}/events_compacted"))
 
 
+@query
+def compact_events_two_files(spark, sf_dir):
+    folder = src.scratch_dir(spark)
+    _shaped(spark, sf_dir).write.parquet(f"{folder}/events")
+    src.compact(spark, f"{folder}/events", f"{folder}/events_compacted", files=COMPACTED_FILES)
+    return _plain(st.read_events(spark, f"{folder}/events_compacted"))
+
+
 @query
 def describe_fact(spark, sf_dir):
     """Columns of the stored fact table, as the catalog describes them."""
@@ -222,24 +320,35 @@ def dedup_by_key(spark, sf_dir):
     return op.dedup_by_key(lines, ["product_id"], ["transaction_id"])
 
 
+def _two_runs(spark, sf_dir):
+    """All sales in one run and the online ones in a second, of another month and year."""
+    online = fx.raw_sales(spark, sf_dir).filter(F.col("is_online") == "yes")
+    return _cleaned(spark, sf_dir).union(op.clean_sales(online, LATER_RUN))
+
+
 @query
 def distinct_extraction_periods(spark, sf_dir):
-    return op.distinct_count(_cleaned(spark, sf_dir), "Extraction_Year", "Extraction_Month")
+    return op.distinct_count(_two_runs(spark, sf_dir), "Extraction_Year", "Extraction_Month")
 
 
 @query
 def rows_per_month(spark, sf_dir):
-    return op.group_counts(_cleaned(spark, sf_dir), ["Extraction_Month"])
+    return op.group_counts(_two_runs(spark, sf_dir), ["Extraction_Month"])
 
 
 @query
 def partition_sizes(spark, sf_dir):
-    return op.partition_sizes(_cleaned(spark, sf_dir))
+    """Partitions, empty ones too (there are more than branches), and rows in them."""
+    sizes = op.partition_sizes(_cleaned(spark, sf_dir).repartition(32, "branch_id"))
+    return sizes.agg(F.count("*").alias("partitions"), F.sum("rows").alias("rows"))
 
 
 @query
 def partition_profile(spark, sf_dir):
-    return op.partition_profile(_cleaned(spark, sf_dir), "Extraction_Month")
+    """Rows by value over all partitions; a branch is in one of them."""
+    cleaned = _cleaned(spark, sf_dir).repartition(8, "branch_id")
+    values = op.partition_profile(cleaned, "branch_id").groupBy("value")
+    return values.agg(F.count("*").alias("partitions"), F.sum("rows").alias("rows"))
 
 
 # ---- cleaning ----

@@ -75,12 +75,17 @@ def test_group_counts(spark):
     assert row_set(op.group_counts(df, ["a"])) == ["('x', 2)", "(None, 1)"]
 
 
+def test_partition_sizes_count_the_empty_ones(spark):
+    sizes = op.partition_sizes(frame(spark, [("x", i) for i in range(7)]).repartition(50, "a"))
+    assert sizes.count() == 50 and sorted(r.rows for r in sizes.collect())[-2:] == [0, 7]
+
+
 def test_partition_profile(spark):
     df = frame(spark, [(c, i) for c in "xyz" for i in range(10)]).repartition(3, "a")
     by_partition = {}
     for r in df.withColumn("p", F.spark_partition_id()).collect():
         by_partition.setdefault(r.p, []).append(r.a)
     sizes = {r.partition_id: r.rows for r in op.partition_sizes(df).collect()}
-    assert sizes == {p: len(v) for p, v in by_partition.items()}
+    assert sizes == {p: len(by_partition.get(p, [])) for p in range(3)}
     values = {(r.partition_id, r.value): r.rows for r in op.partition_profile(df, "a").collect()}
     assert values == {(p, x): v.count(x) for p, v in by_partition.items() for x in set(v)}

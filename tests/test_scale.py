@@ -5,10 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from retailflow import fixtures as fx
 from retailflow import operators as op
 from retailflow import sources as src
+from retailflow.workload import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -23,19 +23,20 @@ def joined_frames(spark):
 
 
 LAZY = sorted(
-    n for n in queries()
-    if not re.search(r"roundtrip|scan|landing|compact|describe|incremental", n)
+    n for n in QUERIES
+    if not re.search(r"roundtrip|scan|landing|compact|describe|incremental|stored|two_hours", n)
 )
 
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_query_pairs_all_rows_or_leaves_the_jvm(spark, conf, name):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    plan = plan_of(queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|Python|Pandas|BroadcastHash", plan)
     assert "Exchange SinglePartition" not in plan or name in {
         # One row of totals, from partial totals of every task.
         "null_profile", "row_count", "duplicate_count", "distinct_extraction_periods",
+        "partition_sizes",
     }
 
 
@@ -53,27 +54,33 @@ def test_rows_of_a_key_are_limited_before_the_shuffle(spark):
 
 def test_sales_of_one_agent_go_to_several_tasks(spark, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    conf("spark.sql.adaptive.enabled", "false")
     conf("spark.sql.shuffle.partitions", "16")
-    sales = spark.range(6000).select(
-        F.concat(F.lit("t"), "id").alias("transaction_id"), F.lit("c").alias("customer_id"),
-        F.lit("p").alias("product_id"),
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16KB")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "16KB")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    # Skewed input comes in several map outputs, which is what a split can tell apart.
+    sales = spark.range(0, 60000, 1, 12).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("transaction_id"),
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("a"), F.col("id") % 300))
         .alias("sales_agent_id"),
     )
-    agents = sales.select(
-        F.col("sales_agent_id").alias("sales_person_id"), F.lit("n").alias("name")
-    ).distinct()
+    agents = spark.createDataFrame(
+        [("hot", "n")] + [(f"a{i}", "n") for i in range(300)], "sales_person_id string, name string"
+    )
     joined = op.join_agents(sales, agents)
-    assert joined.count() == 6000
-    hot = joined.filter("sales_agent_id = 'hot'").groupBy(F.spark_partition_id()).count()
-    sizes = [r[1] for r in hot.collect()]
-    assert sum(sizes) == 2000 and max(sizes) < 800
+    assert joined.count() == 60000
+    is_hot = (F.col("sales_agent_id") == "hot").cast("int")
+    tasks = joined.select(F.spark_partition_id().alias("task"), is_hot.alias("hot"), "transaction_id")
+    sums = tasks.groupBy("task").agg(F.sum("hot").alias("n"), F.max("transaction_id"))
+    sizes = [r.n for r in sums.collect() if r.n]
+    assert sum(sizes) == 20000
+    assert len(sizes) > 3 and max(sizes) < 10000
 
 
-def test_slot_adds_no_null_check_below_the_join(spark):
+def test_few_agents_are_broadcast_as_they_are(spark):
     plan = plan_of(op.join_agents(*joined_frames(spark)))
-    assert not re.search(r"isnotnull\([^\n]*xxhash64", plan)
+    assert "BroadcastHashJoin" in plan and "Generate" not in plan
 
 
 @pytest.mark.parametrize("report, key", [

@@ -154,11 +154,11 @@ def parquet_files(path):
     return glob.glob(f"{path}/*.parquet")
 
 
-@pytest.mark.parametrize("how", [{}, {"files": 5}, {"target_bytes": 10**9}])
+@pytest.mark.parametrize("how", [{}, {"files": 5}, {"files": 2}, {"target_bytes": 10**9}])
 def test_compaction_keeps_the_rows(spark, tmp_path, many_files, how):
     out = str(tmp_path / "out")
     src.compact(spark, many_files, out, **how)
-    assert len(parquet_files(out)) == {"files": 5, "target_bytes": 1}.get(next(iter(how), ""), 2)
+    assert len(parquet_files(out)) == how.get("files", 1)
     assert row_set(spark.read.parquet(out)) == row_set(spark.read.parquet(many_files))
     assert len(parquet_files(many_files)) == 20
 
@@ -191,6 +191,29 @@ def test_compaction_never_overwrites_its_input(spark, src_dst):
         src.compact(spark, *src_dst)
 
 
+@pytest.mark.parametrize("how", [{"files": 2}, {"target_bytes": 10**9}])
+@pytest.mark.parametrize("alias", ["o/../many", "link", "file:{}/many", "file://localhost{}/many", "many/sub", "link/new"])
+def test_compaction_knows_its_input_by_any_name(spark, tmp_path, many_files, how, alias):
+    (tmp_path / "o").mkdir()
+    (tmp_path / "link").symlink_to(tmp_path / "many")
+    dst = alias.format(tmp_path) if alias.startswith("file:") else f"{tmp_path}/{alias}"
+    with pytest.raises(ValueError, match="overwrite"):
+        src.compact(spark, many_files, dst, **how)
+    assert spark.read.parquet(many_files).count() == 100
+    assert len(parquet_files(many_files)) == 20
+
+
+def test_failed_compaction_leaves_the_target(spark, tmp_path, many_files):
+    out = str(tmp_path / "out")
+    spark.range(3).write.parquet(out)
+    with open(parquet_files(many_files)[0], "wb") as f:
+        f.write(b"not parquet, but as long as it has to be to look like a file")
+    with pytest.raises(Exception):
+        src.compact(spark, many_files, out)
+    assert spark.read.parquet(out).count() == 3
+    assert len(parquet_files(many_files)) == 20
+
+
 class Recorder:
     """Stands in for a session: the Kafka package is not installed here."""
 

@@ -30,7 +30,29 @@ def test_landing_hour_takes_all_files_of_that_hour_only(spark, tmp_path):
     assert {r.units for r in df.collect()} == {"2", "007"}
     assert df.filter("branch_id is null").count() == 1
     whole_day = src.read_landing(spark, str(tmp_path), "sales_transactions", "2024-02-03")
-    assert whole_day.count() == 5
+    assert whole_day.count() == 4
+    assert src.read_landing(spark, str(tmp_path), None, "2024-02-03").count() == 5
+
+
+def test_a_day_with_two_entities_gives_the_one_asked_for(spark, tmp_path):
+    day = tmp_path / "date(2024-02-03)"
+    write_landing(day, "sales_transactions_SS_raw_1_09.csv", [sale()])
+    (day / "sales_agents_1_09.csv").write_text("sales_person_id,name,hire_date\n7,Bob,2020-01-01\n")
+    agents = src.read_landing(spark, str(tmp_path), "sales_agents", "2024-02-03")
+    assert row_set(agents) == ["('7', 'Bob', '2020-01-01')"]
+
+
+def test_files_of_one_hour_with_different_headers(spark, tmp_path):
+    day = tmp_path / "date(2024-02-03)"
+    day.mkdir()
+    (day / "sales_transactions_SS_raw_1_09.csv").write_text("transaction_id,units,unit_price\nt1,2,10\n")
+    (day / "sales_transactions_SS_raw_2_09.csv").write_text(
+        "transaction_id,unit_price,units,source\nt2,11,3,web\n"
+    )
+    (day / "sales_transactions_SS_raw_3_09.csv").write_text("")
+    df = src.read_landing(spark, str(tmp_path), "sales_transactions", "2024-02-03", 9)
+    rows = df.select("transaction_id", "units", "unit_price", "source")
+    assert row_set(rows) == ["('t1', '2', '10', None)", "('t2', '3', '11', 'web')"]
 
 
 def test_missing_hour_names_the_path(spark, tmp_path):
@@ -45,15 +67,39 @@ def test_read_entity_routes_by_prefix(spark, tmp_path):
         write_landing(tmp_path, f"{name}.csv", [sale(units=str(i)) for i in range(n)])
     base = str(tmp_path)
     assert src.read_entity(spark, base, "branches").count() == 2
-    hours = src.landing_hours(src.read_entity(spark, base, "sales_transactions"))
+    hours = src.landing_hours(src.read_entity(spark, base, "sales_transactions", with_file=True))
     assert row_set(hours) == ["('09', 3)"]
-    assert row_set(src.landing_hours(src.read_entity(spark, base, "sales_agents"))) == [
-        "('10', 1)"
-    ]
+    agents = src.read_entity(spark, base, "sales_agents", with_file=True)
+    assert row_set(src.landing_hours(agents)) == ["('10', 1)"]
     with pytest.raises(ValueError, match="returns"):
         src.read_entity(spark, base, "returns")
 
 
+def test_landing_hour_is_that_of_the_file_not_of_a_folder(spark, tmp_path):
+    folder = tmp_path / "old_10.csv_copy"
+    write_landing(folder, "branches_1_09.csv", [sale()])
+    rows = src.read_entity(spark, str(folder), "branches", with_file=True)
+    assert row_set(src.landing_hours(rows)) == ["('09', 1)"]
+
+
+def test_load_dim_by_key_keeps_the_first_row_of_a_key(spark, database):
+    name = f"{database}.product"
+    frame = lambda *rows: spark.createDataFrame(rows, "product_id string, product_name string")
+    src.load_dim(frame(("p1", "Old"), ("p1", "Older"), (None, "x"), (None, "w")), name, ["product_id"])
+    src.load_dim(frame(("p1", "New"), ("p2", "Two"), (None, "v")), name, ["product_id"])
+    assert row_set(spark.table(name)) == ["('p1', 'Old')", "('p2', 'Two')", "(None, 'w')"]
+
+
+def test_csv_dump_reads_back_as_it_was(spark, tmp_path):
+    texts = ["  pad ", "", None, 'say "so"', "a,b", "\\", "\\n", "\t", "ü", "back\\"]
+    report = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "k string, v string")
+    src.dump_csv(report, f"{tmp_path}/out")
+    assert row_set(src.read_csv_dump(spark, f"{tmp_path}/out")) == row_set(report)
+    for broken in ("two\nlines", "two\rlines"):
+        with pytest.raises(Exception, match="line break in column v"):
+            src.dump_csv(spark.createDataFrame([("1", broken)], "k string, v string"), f"{tmp_path}/bad", "overwrite")
+
+
 def test_two_years_read_back_from_the_root(spark, database, tmp_path):
     name = f"{database}.fact"
     src.append_fact(op.fact(cleaned(spark, {}, {"units": "3"})), name)
