@@ -2,8 +2,10 @@
 
 A sketch samples the PICKS least of a document's shingles (five words, labelled with how often
 each came before) and keeps them in the order of the text, so it reacts to moved passages as
-an edit distance does. Documents that share a sketch are candidates; each is held against
-two documents of its bucket, chosen by a hash, and the pair is verified by an alignment.
+an edit distance does. Documents that share a sketch are candidates, and a pair is verified by
+an alignment. First each document is held against two of its bucket, chosen by a hash for each
+table anew, which joins most groups. What is still apart in a bucket is then paired in blocks
+of BLOCK documents, so a bucket of any size makes links in proportion to its documents.
 
 Similarity: shingles that a banded alignment matches in order, over all shingles of both
 (matched ones once). Without moved passages this is the Jaccard similarity of the shingles.
@@ -25,6 +27,7 @@ from retailflow.llm.words import mixed, occurrences, row_slices, shingle_codes
 
 THRESHOLD = 0.8
 PICKS = 3
+BLOCK = 24  # documents of a bucket that are paired with each other if still apart
 TABLES = 14  # of two texts with similarity 0.8, one in 20,000 shares no sketch
 
 _rng = np.random.default_rng(8)
@@ -156,24 +159,57 @@ def sketch_table(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, digest binary, n long, keys array<long>")
 
 
-def candidates(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Pairs (a, b): each document with the first and the last of each of its buckets.
+def _buckets(nodes: DataFrame) -> DataFrame:
+    """at, key, doc_id, n and every column of `nodes` but its keys, a row per table."""
+    rest = [c for c in nodes.columns if c != "keys"]
+    return nodes.where("n > 0").select(*rest, F.posexplode("keys").alias("at", "key"))
 
-    First and last go by a hash of the id, not by its size. A bucket of any size makes two
-    links per document; pairs whose lengths rule out the similarity are left out.
-    """
-    keyed = nodes.where("n > 0").select(
-        "doc_id", "n", F.posexplode("keys").alias("at", "key")
-    ).withColumn("place", F.struct(F.xxhash64("doc_id").alias("h"), "doc_id", "n"))
+
+def _ordered(a, b):
+    return F.greatest(a, b).alias("a"), F.least(a, b).alias("b")
+
+
+def _may_reach(a, b, threshold: float):
+    """Whether the numbers of shingles leave room for the similarity."""
+    return F.least(a, b) >= threshold * F.greatest(a, b)
+
+
+def candidates(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs (a, b): each document with the first and the last of each of its buckets, by a hash
+    that differs from table to table."""
+    place = F.struct(F.xxhash64("at", "doc_id").alias("h"), "doc_id", "n")
+    keyed = _buckets(nodes).withColumn("place", place)
     ends = keyed.groupBy("at", "key").agg(F.count("*").alias("size"), F.min("place").alias("low"), F.max("place").alias("high"))
     ends = ends.where("size > 1").select("at", "key", F.array("low", "high").alias("ends"))
     pairs = keyed.join(ends, ["at", "key"]).select("doc_id", "n", F.explode("ends").alias("end"))
-    near = F.least("n", "end.n") >= threshold * F.greatest("n", "end.n")
     return (
-        pairs.where((F.col("doc_id") != F.col("end.doc_id")) & near)
-        .select(F.greatest("doc_id", "end.doc_id").alias("a"), F.least("doc_id", "end.doc_id").alias("b"))
+        pairs.where((F.col("doc_id") != F.col("end.doc_id")) & _may_reach("n", "end.n", threshold))
+        .select(*_ordered("doc_id", "end.doc_id"))
+        .distinct()
+    )
+
+
+def still_apart(nodes: DataFrame, roots: DataFrame, seen: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs of one bucket and block whose components differ, without those of `seen`."""
+    part = nodes.join(roots, F.col("doc_id") == F.col("node"), "left")
+    keyed = _buckets(part.select("doc_id", "n", "keys", F.coalesce("root", "doc_id").alias("part")))
+    mixed_buckets = (
+        keyed.groupBy("at", "key")
+        .agg(F.count("*").alias("size"), F.min("part").alias("low"), F.max("part").alias("high"))
+        .where("low < high")
+        .select("at", "key", F.ceil(F.col("size") / BLOCK).alias("blocks"))
+    )
+    block = F.pmod(F.xxhash64("at", "doc_id"), F.col("blocks"))
+    rows = shared_table(keyed.join(mixed_buckets, ["at", "key"]).withColumn("block", block).drop("blocks"), "omh_apart")
+    other = rows.select("at", "key", "block", *(F.col(c).alias(f"other_{c}") for c in ("doc_id", "n", "part")))
+    pairs = (
+        rows.join(other, ["at", "key", "block"])
+        .where((F.col("doc_id") > F.col("other_doc_id")) & (F.col("part") != F.col("other_part")))
+        .where(_may_reach("n", "other_n", threshold))
+        .select(*_ordered("doc_id", "other_doc_id"))
         .distinct()
     )
+    return pairs.join(seen, ["a", "b"], "left_anti")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -216,7 +252,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     nodes = shared_table(nodes.select("digest", "first.doc_id", "first.n", "first.keys"), "omh_nodes")
     pairs = shared_table(candidates(nodes, threshold), "omh_candidates")
     links = shared_table(verified(pairs, rows.where("doc_id IS NOT NULL"), threshold).select("a", "b").distinct(), "omh_links")
-    roots = components(links)
+    more = shared_table(still_apart(nodes, components(links), pairs, threshold), "omh_more_candidates")
+    found = verified(more, rows.where("doc_id IS NOT NULL"), threshold).select("a", "b").distinct()
+    roots = components(links.union(shared_table(found, "omh_more_links")))
     classes = nodes.join(roots, F.col("doc_id") == F.col("node"), "left").select(
         F.col("digest").alias("of"), F.col("doc_id").alias("copy_of"), F.coalesce("root", "doc_id").alias("class_id")
     )

@@ -115,6 +115,20 @@ def test_order_minhash(spark, messy):
     assert order_minhash.near_duplicates(empty_documents(spark)).count() == 0
 
 
+def test_copies_that_only_their_base_is_near_to(spark):
+    """Ten copies of one text, each with its own changes: near to the base, not to each other."""
+    words = [f"w{i * 7919 % 100003}" for i in range(600)]
+    rows = [(50, " ".join(words))]
+    for k in range(10):
+        own = list(words)
+        for j in range(10):
+            own[k * 60 + j * 6] = f"change{k}x{j}"
+        rows.append((k, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = by_id(order_minhash.near_duplicates(docs), "class_id")
+    assert all(v == [0] for v in classes.values())
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (200, 201), (200, 202)]
     got = {r.node: r.root for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
