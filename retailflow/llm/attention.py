@@ -18,7 +18,8 @@ STRIDE = 16
 WIDTH = 16  # of the vectors
 CLASSES, MEMBERS = 32, 32  # frequent tokens: CLASSES x MEMBERS
 RARE_INPUTS = 64  # rare tokens share this many input vectors
-BLOCKS = 512  # that are worked on at once
+BLOCKS = 1024  # whose tokens are scored at once
+ATTEND = 128  # blocks that attend at once, so that what they need stays in the cache
 
 
 PULL = 5.0  # tokens that the overall counts weigh against those after one token
@@ -70,7 +71,8 @@ class Vocabulary:
         members = table[:, :head].reshape(-1, CLASSES, MEMBERS)
         groups = np.concatenate((members.sum(2), table[:, head:]), 1)
         self.after_group = np.log(groups / groups.sum(1, keepdims=True)).astype(np.float32)
-        self.after_member = np.log(members / members.sum(2, keepdims=True)).astype(np.float32)
+        members = np.log(members / members.sum(2, keepdims=True)).astype(np.float32)
+        self.after_member = np.ascontiguousarray(members.transpose(1, 0, 2))  # one table per class
 
 
 SHAPES = {
@@ -157,22 +159,31 @@ def _attend(w, inputs, blank):
 def _log_likelihood(w, out, before, targets, vocabulary, grad=None):
     """Log probability of each target; with grad also fills it and returns the gradient of out."""
     ones = np.ones(max(CLASSES + 1, MEMBERS), np.float32)
+    # The counts give log probabilities; only what the layers add could make a logit large.
+    most = np.abs(out).max(initial=0) * WIDTH
+    cap = most * max(np.abs(w["group"]).max(), np.abs(w["member"]).max()) > 50
+    cap |= max(np.abs(w["group_bias"]).max(), np.abs(w["member_bias"]).max()) > 10
     group, member = vocabulary.group[targets], vocabulary.member[targets]
-    z = out @ w["group"] + w["group_bias"]
-    z += vocabulary.after_group[before]
-    np.minimum(z, 60, out=z)
-    rows = np.arange(len(out))
-    own = z[rows, group]
-    e = np.exp(z, out=z)
-    total = e @ ones[: CLASSES + 1]
-    logp = own - np.log(total) + vocabulary.rare[targets]
-    back = None
-    if grad is not None:
-        d = e / total[:, None]
-        d[rows, group] -= 1
-        grad["group"] += out.T @ d
-        grad["group_bias"] += d.sum(0)
-        back = d @ w["group"].T
+    logp = vocabulary.rare[targets].astype(out.dtype)
+    back = None if grad is None else np.empty_like(out)
+    for a in range(0, len(out), 4096):
+        part = slice(a, a + 4096)
+        z = out[part] @ w["group"]
+        z += w["group_bias"]
+        z += vocabulary.after_group[before[part]]
+        if cap:
+            np.minimum(z, 60, out=z)
+        rows = np.arange(len(z))
+        own = z[rows, group[part]]
+        e = np.exp(z, out=z)
+        total = e @ ones[: CLASSES + 1]
+        logp[part] += own - np.log(total)
+        if grad is not None:
+            d = e / total[:, None]
+            d[rows, group[part]] -= 1
+            grad["group"] += out[part].T @ d
+            grad["group_bias"] += d.sum(0)
+            back[part] = d @ w["group"].T
     order = np.argsort(group.astype(np.int8), kind="stable")
     bounds = np.searchsorted(group[order], np.arange(CLASSES + 1))
     for c in range(CLASSES):
@@ -180,9 +191,11 @@ def _log_likelihood(w, out, before, targets, vocabulary, grad=None):
         if not len(at):
             continue
         v = out[at]
-        z = v @ w["member"][c] + w["member_bias"][c]
-        z += vocabulary.after_member[before[at], c]
-        np.minimum(z, 60, out=z)
+        z = v @ w["member"][c]
+        z += w["member_bias"][c]
+        z += vocabulary.after_member[c].take(before[at], 0)
+        if cap:
+            np.minimum(z, 60, out=z)
         pick = np.arange(len(at))
         own = z[pick, member[at]]
         e = np.exp(z, out=z)
@@ -198,19 +211,54 @@ def _log_likelihood(w, out, before, targets, vocabulary, grad=None):
 
 
 def score(flat: np.ndarray, pieces: np.ndarray, sizes: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
-    """Natural log probability of each token."""
+    """Natural log probability of each token.
+
+    The same function as `gradient` differentiates, arranged for speed: vectors depend on the
+    input alone, so keys, values and queries are looked up, not multiplied out anew.
+    """
     if not len(pieces):
         return np.zeros(0)
     w = views(flat)
     inputs, targets, blank, place = layout(pieces, sizes, vocabulary)
+    x = w["vectors"]
+    query = x @ (w["query"] * np.float32(WIDTH**-0.5))
+    tables = np.concatenate((x @ w["key"], x @ w["value"], query, x), 1)
+    bias = w["distance"][_AGO] + _AHEAD
+    # With weights this small no exponential can overflow, and capping it is left out.
+    longest = [float(np.abs(t).max()) * WIDTH for t in (query, tables[:, :WIDTH])]
+    cap = longest[0] * longest[1] / WIDTH + float(w["distance"].max()) > 60
     logp = np.zeros(targets.size, np.float32)
-    for a in range(1, len(inputs), BLOCKS):
-        b = min(a + BLOCKS, len(inputs))
-        out, _ = _attend(w, inputs[a - 1 : b], blank[a - 1 : b])
-        wanted = targets[a:b].ravel()
+    ones = np.ones(2 * STRIDE, np.float32)
+    hidden = np.empty((BLOCKS * STRIDE, WIDTH), np.float32)
+    for first in range(1, len(inputs), BLOCKS):
+        last = min(first + BLOCKS, len(inputs))
+        for a in range(first, last, ATTEND):
+            b = min(a + ATTEND, last)
+            rows = tables.take(inputs[a - 1 : b], 0)
+            key, value = rows[:, :, :WIDTH], rows[:, :, WIDTH : 2 * WIDTH]
+            query, x = rows[1:, :, 2 * WIDTH : 3 * WIDTH], rows[1:, :, 3 * WIDTH :]
+            s = np.empty((b - a, STRIDE, 2 * STRIDE), np.float32)
+            np.matmul(query, key[:-1].transpose(0, 2, 1), out=s[:, :, :STRIDE])
+            np.matmul(query, key[1:].transpose(0, 2, 1), out=s[:, :, STRIDE:])
+            s += bias
+            s[blank[a - 1 : b - 1], :, :STRIDE] = -1e4
+            if cap:
+                np.minimum(s, 60, out=s)
+            np.exp(s, out=s)
+            mixed = s[:, :, :STRIDE] @ value[:-1]
+            mixed += s[:, :, STRIDE:] @ value[1:]
+            mixed /= (s.reshape(-1, 2 * STRIDE) @ ones).reshape(b - a, STRIDE, 1)
+            mixed += x
+            h = mixed.reshape(-1, WIDTH)
+            u = h @ w["first"]
+            u += w["first_bias"]
+            np.maximum(u, 0, out=u)
+            h += u @ w["second"]
+            hidden[(a - first) * STRIDE : (b - first) * STRIDE] = h
+        wanted = targets[first:last].ravel()
         real = np.flatnonzero(wanted >= 0)
-        found, _ = _log_likelihood(w, out[real], inputs[a:b].ravel()[real], wanted[real], vocabulary)
-        logp[a * STRIDE + real] = found
+        found, _ = _log_likelihood(w, hidden[real], inputs[first:last].ravel()[real], wanted[real], vocabulary)
+        logp[first * STRIDE + real] = found
     return logp[place].astype(float)
 
 

@@ -10,6 +10,7 @@
 """
 
 import base64
+import math
 from array import array
 from collections import Counter
 from collections.abc import Iterator
@@ -29,10 +30,10 @@ SUBWORDS = 50_257  # ids of that file and one for the end mark
 END_ID = SUBWORDS - 1
 END = b""  # the end mark among words, which are never empty
 FOLDS, HELD_OUT = 5, 1
-EXCERPT_WORDS, EXCERPT_EVERY = 24, 384
+EXCERPT_WORDS, EXCERPT_EVERY = 16, 512
 ROUND_RATES = (4e-3, 2e-3)
 BATCH = 64  # excerpts of one step
-LEAST_STEPS = 100  # of a task in a round; with few excerpts it passes over them again
+LEAST_STEPS = 100  # of a round; with few excerpts it passes over them again
 TASK_BYTES = 2 << 20  # of excerpts that one task trains on
 FREQUENT_WORDS = 200_000  # at most, broadcast with their counts
 CACHE_WORDS = 400_000
@@ -41,13 +42,13 @@ _encoders: dict = {}
 
 
 def encoder(path: str):
-    """The tokenizer of a rank file, one per Python worker."""
+    """The tokenizer of a rank file, one per Python worker; it is given single words to merge."""
     if path not in _encoders:
         import tiktoken
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _encoders[path] = tiktoken.Encoding("own", pat_str=r" ?\w+| ?[^\s\w]+|\s+", mergeable_ranks=ranks, special_tokens={})
+        _encoders[path] = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
     return _encoders[path]
 
 
@@ -165,8 +166,10 @@ def learn_vocabulary(words: DataFrame) -> attention.Vocabulary:
 def train(excerpts: DataFrame, vocabulary: attention.Vocabulary, tokenizer: str) -> np.ndarray:
     """Weights after as many rounds as there are ROUND_RATES; each excerpt belongs to one."""
     context = excerpts.sparkSession.sparkContext
-    size = (excerpts.agg(F.sum(F.length("excerpt"))).first()[0] or 0) // len(ROUND_RATES)
-    tasks = max(1, -(-size // TASK_BYTES))
+    n, size = excerpts.agg(F.count("*"), F.coalesce(F.sum(F.length("excerpt")), F.lit(0))).first()
+    tasks = max(1, -(-size // (TASK_BYTES * len(ROUND_RATES))))
+    # By the whole, not by the task: more tasks than planned must not mean more work.
+    passes = -(-LEAST_STEPS * BATCH * tasks * len(ROUND_RATES) // max(n, 1))
     place = F.pmod(F.xxhash64("excerpt"), F.lit(2**32))
     weights = attention.initial(vocabulary)
     for turn, rate in enumerate(ROUND_RATES):
@@ -178,7 +181,6 @@ def train(excerpts: DataFrame, vocabulary: attention.Vocabulary, tokenizer: str)
             cache: dict[bytes, list[int]] = {END: [END_ID]}
             texts = sorted((e, c) for b in batches for e, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
             rng = np.random.default_rng(turn)
-            passes = -(-LEAST_STEPS * BATCH // max(len(texts), 1)) if texts else 0
             order = np.concatenate([rng.permutation(len(texts)) for _ in range(passes)]) if texts else []
 
             def steps():
@@ -231,6 +233,27 @@ def _base(c, total, distinct):
     return F.log10((c + 0.5) / F.lit(total + 0.5 * (distinct + 1)))
 
 
+class _WordCache(dict):
+    """Number of each word; columns: all subwords, and by number their place, how many, the base
+    score and whether it is known (else it is to be looked up)."""
+
+    def __init__(self, encode, frequent: dict[bytes, int], divisor: float):
+        self.encode, self.frequent, self.divisor = encode, frequent, divisor
+        self.columns = array("i"), array("l"), array("l"), array("d"), array("b")
+
+    def __missing__(self, word: bytes) -> int:
+        flat, offset, size, base, state = self.columns
+        pieces = subwords(word, self.encode)
+        offset.append(len(flat))
+        size.append(len(pieces))
+        flat.extend(pieces)
+        c = self.frequent.get(word)
+        state.append(c is not None)
+        base.append(0.0 if c is None else math.log10((c + 0.5) / self.divisor))
+        number = self[word] = len(self)
+        return number
+
+
 def score_documents(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """One row per row of `docs`: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -252,38 +275,24 @@ def score_documents(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode_ordinary
         weights, vocabulary, frequent = shared.value
-        cache: dict[bytes, int] = {}
-        flat, offset, size, base, state = array("i"), array("l"), array("l"), array("d"), array("b")
-
-        def learn(new):
-            for w in new:
-                cache[w] = len(cache)
-                pieces = subwords(w, encode)
-                offset.append(len(flat))
-                size.append(len(pieces))
-                flat.extend(pieces)
-                c = frequent.get(w)
-                state.append(0 if c is None else 1)  # 0: to be looked up
-                base.append(0.0 if c is None else float(np.log10((c + 0.5) / divisor)))
-
+        cache = _WordCache(encode, frequent, divisor)
         for batch in batches:
             for part in row_slices(batch, 2):
                 if len(cache) > CACHE_WORDS:
-                    cache.clear()
-                    flat, offset, size, base, state = array("i"), array("l"), array("l"), array("d"), array("b")
+                    cache = _WordCache(encode, frequent, divisor)
                 texts = [[*_words(t), END] for t in part.column(2).to_pylist()]
                 counts = np.array([len(t) for t in texts])
                 everything = list(chain.from_iterable(texts))
-                learn(set(everything) - cache.keys())
                 at = np.fromiter(map(cache.__getitem__, everything), np.int64, len(everything))
+                flat, offset, size, base, state = map(np.array, cache.columns)
                 doc = np.repeat(np.arange(len(texts)), counts)
-                sizes = np.array(size)[at]
+                sizes = size[at]
                 first = np.cumsum(sizes) - sizes
-                place = np.arange(sizes.sum()) + np.repeat(np.array(offset)[at] - first, sizes)
+                place = np.arange(sizes.sum()) + np.repeat(offset[at] - first, sizes)
                 per_doc = np.bincount(doc, sizes, len(texts)).astype(np.int64)
-                logp = attention.score(weights, np.array(flat)[place], per_doc, vocabulary)
+                logp = attention.score(weights, flat[place], per_doc, vocabulary)
                 scores = np.bincount(np.repeat(np.arange(len(texts)), per_doc), logp, len(texts)) / np.log(10)
-                found = np.array(state)[at]
+                found = state[at]
                 look = np.flatnonzero(found == 0)
                 ends = np.searchsorted(doc[look], np.arange(len(texts) + 1)).astype(np.int32)
                 rare = pa.ListArray.from_arrays(pa.array(ends), pa.array([everything[i] for i in look.tolist()], pa.binary()))
@@ -291,7 +300,7 @@ def score_documents(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
                     [
                         part.column(0), part.column(1), pa.array(counts),
                         pa.array(np.bincount(doc, found, len(texts)).astype(np.int64)),
-                        pa.array(np.bincount(doc, np.array(base)[at], len(texts))), pa.array(scores), rare,
+                        pa.array(np.bincount(doc, base[at], len(texts))), pa.array(scores), rare,
                     ],
                     ["row", "doc_id", "n_tokens", "known", "base", "score", "rare"],
                 )

@@ -156,7 +156,7 @@ def test_statistics_do_not_depend_on_the_neighbours():
 def test_gradient():
     counts = np.r_[np.full(1500, 20.0), np.zeros(48_757)]
     vocabulary = attention.Vocabulary(counts)
-    vocabulary.learn_pairs(np.random.default_rng(0).integers(0, 3, (vocabulary.begin + 1, 1025)).astype(float))
+    vocabulary.learn_pairs(np.random.default_rng(0).integers(0, 3, (vocabulary.begin + 1, attention.CLASSES * attention.MEMBERS + 1)).astype(float))
     flat = attention.initial(vocabulary).astype(float)
     rng = np.random.default_rng(1)
     flat += rng.normal(0, 0.05, len(flat))
@@ -180,7 +180,7 @@ def test_gradient():
 def test_scores_are_causal_and_a_distribution():
     rng = np.random.default_rng(2)
     vocabulary = attention.Vocabulary(rng.integers(0, 50, 2000).astype(float))
-    vocabulary.learn_pairs(np.zeros((vocabulary.begin + 1, 1025)))
+    vocabulary.learn_pairs(np.zeros((vocabulary.begin + 1, attention.CLASSES * attention.MEMBERS + 1)))
     flat = attention.initial(vocabulary)
     flat += rng.normal(0, 0.1, len(flat)).astype(np.float32)
     attention.views(flat)["vectors"][vocabulary.blank] = 0
