@@ -199,13 +199,24 @@ def still_apart(nodes: DataFrame, roots: DataFrame, seen: DataFrame, threshold:
         .where("low < high")
         .select("at", "key", F.ceil(F.col("size") / BLOCK).alias("blocks"))
     )
+    rows = shared_table(keyed.join(mixed_buckets, ["at", "key"]), "omh_apart")
+    # Keys of a document's buckets of one block, in table order: two documents meet in all they
+    # share of these, and are paired in the first only.
+    whole = rows.where("blocks = 1").groupBy(F.col("doc_id").alias("id")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("at", "key"))), lambda x: x["key"]).alias("whole")
+    )
     block = F.pmod(F.xxhash64("at", "doc_id"), F.col("blocks"))
-    rows = shared_table(keyed.join(mixed_buckets, ["at", "key"]).withColumn("block", block).drop("blocks"), "omh_apart")
-    other = rows.select("at", "key", "block", *(F.col(c).alias(f"other_{c}") for c in ("doc_id", "n", "part")))
+    rows = rows.join(whole, F.col("doc_id") == F.col("id"), "left").select(
+        "at", "key", block.alias("block"), "doc_id", "n", "part", F.coalesce("whole", F.array().cast("array<bigint>")).alias("whole")
+    )
+    rows = shared_table(rows, "omh_blocks")
+    other = rows.select("at", "key", "block", *(F.col(c).alias(f"other_{c}") for c in ("doc_id", "n", "part", "whole")))
+    shared = F.array_intersect("whole", "other_whole")
+    first = (F.size(shared) == 0) | (F.get(shared, F.lit(0)) == F.col("key"))
+    apart = (F.col("doc_id") > F.col("other_doc_id")) & (F.col("part") != F.col("other_part"))
     pairs = (
         rows.join(other, ["at", "key", "block"])
-        .where((F.col("doc_id") > F.col("other_doc_id")) & (F.col("part") != F.col("other_part")))
-        .where(_may_reach("n", "other_n", threshold))
+        .where(apart & _may_reach("n", "other_n", threshold) & first)
         .select(*_ordered("doc_id", "other_doc_id"))
         .distinct()
     )
