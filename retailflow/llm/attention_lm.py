@@ -146,7 +146,9 @@ def learn_vocabulary(words: DataFrame) -> attention.Vocabulary:
             at = np.flatnonzero(inner)
             each = np.repeat(c, sizes)
             pair = own_in[ids[at]].astype(np.int64) * outcomes + own_out[ids[at + 1]]
-            places = np.concatenate((pair, first + own_out[ids[begin]].astype(np.int64), last + own_in[ids[begin + sizes - 1]].astype(np.int64)))
+            starts = own_out[ids[begin]].astype(np.int64)
+            ends = own_in[ids[begin + sizes - 1]].astype(np.int64)
+            places = np.concatenate((pair, first + starts, last + ends))
             cells += np.bincount(places, np.concatenate((each[at], c, c)), len(cells))
         at = np.flatnonzero(cells)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(cells[at])], ["cell", "n"])

@@ -69,7 +69,11 @@ def chunk_table(docs: DataFrame) -> DataFrame:
                 data = np.frombuffer(b"".join(raw) or b"\0", np.uint8)
                 ends = cut_points(data, np.cumsum(size) - size, size)
                 counts = np.array([max(len(e), 1) for e in ends])
-                digests = [hashlib.blake2b(r[a:b], digest_size=16).digest() for r, e in zip(raw, ends) for a, b in zip([0, *e], e or [0])]
+                digests = [
+                    hashlib.blake2b(r[a:b], digest_size=16).digest()
+                    for r, e in zip(raw, ends)
+                    for a, b in zip([0, *e], e or [0])
+                ]
                 flat = np.array([x for e in ends for x in (e or [0])], np.int64)
                 place = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
                 start = np.concatenate(([0], flat[:-1]))

@@ -25,7 +25,12 @@ def components(links: DataFrame) -> DataFrame:
         large = shared_table(large, f"links_large_{turn}")
         parents = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(parents, "a").select(
-            F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")
+            F.explode(
+                F.array(
+                    F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
+                    F.struct("a", F.col("m").alias("b")),
+                )
+            ).alias("e")
         )
         small = small.select("e.a", "e.b").where("a <> b").distinct()
         new = shared_table(small, f"links_{turn}")

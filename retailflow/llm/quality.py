@@ -124,7 +124,10 @@ def statistics(texts: list[str | None]) -> np.ndarray:
     number = np.arange(len(doc)) - np.repeat(np.cumsum(per_word) - per_word, per_word)
     window = np.flatnonzero(number % WINDOW == 0)
     held = np.diff(np.append(window, len(doc)))
-    for name, flags in (("worst_mark_ends", double), ("worst_mark_words", marks), ("worst_repeats", before | second), ("worst_upper", uppers)):
+    for name, flags in (
+        ("worst_mark_ends", double), ("worst_mark_words", marks),
+        ("worst_repeats", before | second), ("worst_upper", uppers),
+    ):
         worst = np.zeros(n)
         np.maximum.at(worst, doc[window], np.add.reduceat(flags.astype(float), window) / np.maximum(held, 16))
         out[name] = worst

@@ -284,7 +284,10 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bodies = [raw[t][s : s + c + WIDTH - 1] for t, s, c in zip(text.tolist(), start.tolist(), total.tolist())]
             owner = pa.array(text)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(owner), part.column(1).take(owner), pa.array(gram), pa.array(start), pa.array(total), pa.array(bodies, pa.binary())],
+                [
+                    part.column(0).take(owner), part.column(1).take(owner), pa.array(gram),
+                    pa.array(start), pa.array(total), pa.array(bodies, pa.binary()),
+                ],
                 ["doc_id", "body", "gram", "start", "count", "piece"],
             )
 
@@ -304,7 +307,8 @@ def _shard(table: pa.Table) -> pa.Table:
     rows = rows[pick]
     pieces = table.column("piece")
     texts = {s: pieces[s].as_py() for s in np.unique(each[rows]).tolist()}
-    digests = [hashlib.blake2b(texts[s][p : p + WIDTH], digest_size=16).digest() for s, p in zip(each[rows].tolist(), place[rows].tolist())]
+    strings = (texts[s][p : p + WIDTH] for s, p in zip(each[rows].tolist(), place[rows].tolist()))
+    digests = [hashlib.blake2b(x, digest_size=16).digest() for x in strings]
     both = np.concatenate((owner, each[rows]))
     first = np.concatenate((begin, place[rows])) + starts[both]
     last = np.concatenate((stop, place[rows] + 1)) + starts[both] + WIDTH - 1
@@ -399,7 +403,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k, v in zip(out, (removed, runs, hashlib.sha256(rest).hexdigest(), rest)):
                 out[k].append(v)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(out["n_removed"], pa.int64()), pa.array(out["n_spans"], pa.int64()), pa.array(out["sha"], pa.string()), pa.array(out["kept"], pa.binary())],
+            [
+                batch.column(0), batch.column(1),
+                pa.array(out["n_removed"], pa.int64()), pa.array(out["n_spans"], pa.int64()),
+                pa.array(out["sha"], pa.string()), pa.array(out["kept"], pa.binary()),
+            ],
             ["doc_id", "body", "n_removed", "n_spans", "sha", "kept"],
         )
 

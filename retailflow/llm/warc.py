@@ -127,7 +127,10 @@ def _page(name: str | None) -> int | None:
     return None if number == "null" else int(number)
 
 
-_ENTRY = "key string, url string, file string, position long, length long, page_id long, kind string, digest string, bytes long, refers_to long"
+_ENTRY = (
+    "key string, url string, file string, position long, length long, "
+    "page_id long, kind string, digest string, bytes long, refers_to long"
+)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -163,11 +166,18 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 _FIELDS = ("key", "page_id", "url", "file", "position", "length", "kind", "digest", "bytes", "refers_to")
 
 
+def _field(value) -> str:
+    if value is None:
+        return "\\N"
+    return str(value).replace("\\", "\\\\").replace("\t", "\\t").replace("\n", "\\n")
+
+
 def _pack(rows: list[tuple]) -> bytes:
-    lines = ("\t".join("\\N" if v is None else str(v).replace("\\", "\\\\").replace("\t", "\\t").replace("\n", "\\n") for v in r) for r in rows)
+    lines = ("\t".join(map(_field, r)) for r in rows)
     return zlib.compress("\n".join(lines).encode())
 
 
+_NUMBERS = {"page_id", "position", "length", "bytes", "refers_to"}
 _ESCAPES = {"\\\\": "\\", "\\t": "\t", "\\n": "\n"}
 
 
@@ -175,7 +185,8 @@ def _unpack(block: bytes) -> list[tuple]:
     rows = []
     for line in zlib.decompress(block).decode().split("\n"):
         values = [None if v == "\\N" else re.sub(r"\\[\\tn]", lambda m: _ESCAPES[m[0]], v) for v in line.split("\t")]
-        rows.append(tuple(v if v is None or n not in ("page_id", "position", "length", "bytes", "refers_to") else int(v) for n, v in zip(_FIELDS, values)))
+        pairs = zip(_FIELDS, values)
+        rows.append(tuple(int(v) if v is not None and n in _NUMBERS else v for n, v in pairs))
     return rows
 
 
