@@ -4,8 +4,10 @@ A sketch samples the PICKS least of a document's shingles (five words, labelled
 each came before) and keeps them in the order of the text, so it reacts to moved passages as
 an edit distance does. Documents that share a sketch are candidates, and a pair is verified by
 an alignment. First each document is held against two of its bucket, chosen by a hash for each
-table anew, which joins most groups. What is still apart in a bucket is then paired in blocks
-of BLOCK documents, so a bucket of any size makes links in proportion to its documents.
+table anew, which joins most groups. What is still apart in a bucket is then paired whole: buckets of
+up to BLOCK documents by a join, larger ones in cells of CELL x CELL documents, where counts of
+shingles in BINS rule out pairs that cannot reach the threshold. That loses no pair, and a bucket
+of n documents of different classes takes n * n / 2 comparisons of counts.
 
 Similarity: shingles that a banded alignment matches in order, over all shingles of both
 (matched ones once). Without moved passages this is the Jaccard similarity of the shingles.
@@ -27,7 +29,9 @@ from retailflow.llm.words import mixed, occurrences, row_slices, shingle_codes
 
 THRESHOLD = 0.8
 PICKS = 3
-BLOCK = 24  # documents of a bucket that are paired with each other if still apart
+BLOCK = 24  # documents of a bucket that are paired by a join; larger ones in cells
+CELL = 512  # documents of a large bucket that meet as many others in one task
+BINS = 2048  # of a profile, a power of two
 TABLES = 14  # of two texts with similarity 0.8, one in 20,000 shares no sketch
 
 _rng = np.random.default_rng(8)
@@ -189,38 +193,110 @@ def candidates(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
 
 
-def still_apart(nodes: DataFrame, roots: DataFrame, seen: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Pairs of one bucket and block whose components differ, without those of `seen`."""
+def profiles(raw: list[bytes]) -> np.ndarray:
+    """How many shingles of each text fall into each of BINS, 255 at most: no more shingles of
+    two texts can be equal than their profiles leave room for."""
+    doc, code = shingle_codes(raw)
+    places = doc * BINS + (code >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
+    return np.minimum(np.bincount(places, minlength=len(raw) * BINS), 255).astype(np.uint8).reshape(-1, BINS)
+
+
+def profile_table(docs: DataFrame) -> DataFrame:
+    """doc_id, profile."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in row_slices(batch, 1):
+                for start in range(0, part.num_rows, 256):
+                    some = part.slice(start, 256)
+                    found = profiles([_normal(t) for t in some.column(1).to_pylist()])
+                    yield pa.RecordBatch.from_arrays(
+                        [some.column(0), pa.array([x.tobytes() for x in found], pa.binary())], ["doc_id", "profile"]
+                    )
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, profile binary")
+
+
+def _leftover(profile: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Shingles that are surely not matched, of a text and each of others, from their profiles."""
+    return (np.maximum(others, profile) - np.minimum(others, profile)).sum(1, dtype=np.int64)
+
+
+def close_pairs(at, own, n, part, keys, profile, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of the pairs of one cell of table `at` (0 first) that may reach the threshold.
+
+    Rows with `own` are held against those without, or against each other if all have it. Pairs
+    of one part, and those that share a key of an earlier table, are left to others.
+    """
+    coarse = np.minimum(profile.reshape(len(n), -1, 4).sum(2, dtype=np.int64), 255).astype(np.uint8)
+    left = np.flatnonzero(own)
+    within = len(left) == len(n)
+    right = left if within else np.flatnonzero(~own)
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    for place, i in enumerate(left.tolist()):
+        j = right[place + 1 :] if within else right
+        j = j[part[j] != part[i]]
+        total = n[j] + n[i]
+        most = total - 2 * np.ceil(threshold * total / (1 + threshold) - 1e-9)
+        fits = np.abs(n[j] - n[i]) <= most
+        j, most = j[fits], most[fits]
+        if at:
+            fits = ~(keys[j, :at] == keys[i, :at]).any(1)
+            j, most = j[fits], most[fits]
+        for kind in (coarse, profile):
+            fits = _leftover(kind[i], kind[j]) <= most
+            j, most = j[fits], most[fits]
+        out.append((np.full(len(j), i), j))
+    none = [(np.zeros(0, np.int64),) * 2]
+    i, j = (np.concatenate(x) for x in zip(*(out or none)))
+    return i, j
+
+
+def _cell_pairs(rows: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (doc_id, other_doc_id) of large buckets: all of CELL x CELL documents at a time."""
+    ids = rows.select(F.col("doc_id").alias("id")).distinct()
+    texts = docs.select("doc_id", "text").dropDuplicates(["doc_id"])
+    texts = texts.join(ids.hint("merge"), F.col("doc_id") == F.col("id"), "left_semi")
+    known = shared_table(profile_table(texts), "omh_profiles").withColumnRenamed("doc_id", "id")
+    cells = F.ceil(F.col("size") / CELL)
+    rows = rows.withColumn("cells", cells).withColumn("cell", F.pmod(F.xxhash64("doc_id"), F.col("cells")))
+    rows = rows.join(known.hint("merge"), F.col("doc_id") == F.col("id")).select(
+        "at", "key", "doc_id", "n", "part", "keys", "profile", "cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("other")
+    )
+    rows = rows.withColumn("low", F.least("cell", "other")).withColumn("high", F.greatest("cell", "other"))
+
+    def run(table: pa.Table) -> pa.Table:
+        column = lambda name: table.column(name).to_numpy()
+        ids, n, at = column("doc_id"), column("n"), int(table.column("at")[0].as_py())
+        keys = np.array(table.column("keys").to_pylist(), np.int64).reshape(len(ids), -1)
+        profile = np.frombuffer(b"".join(table.column("profile").to_pylist()), np.uint8).reshape(len(ids), BINS)
+        i, j = close_pairs(at, column("cell") == column("low"), n, column("part"), keys, profile, threshold)
+        return pa.table({"doc_id": pa.array(ids[i]), "other_doc_id": pa.array(ids[j])})
+
+    return rows.groupBy("at", "key", "low", "high").applyInArrow(run, "doc_id long, other_doc_id long")
+
+
+def still_apart(nodes: DataFrame, docs: DataFrame, roots: DataFrame, seen: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs that share a bucket, whose components differ and whose shingles leave room for the
+    threshold, without those of `seen`. Each is made in the first bucket that it shares."""
     part = nodes.join(roots, F.col("doc_id") == F.col("node"), "left")
-    keyed = _buckets(part.select("doc_id", "n", "keys", F.coalesce("root", "doc_id").alias("part")))
+    part = part.select("doc_id", "n", "keys", F.coalesce("root", "doc_id").alias("part"))
+    keyed = _buckets(part)
     mixed_buckets = (
         keyed.groupBy("at", "key")
         .agg(F.count("*").alias("size"), F.min("part").alias("low"), F.max("part").alias("high"))
         .where("low < high")
-        .select("at", "key", F.ceil(F.col("size") / BLOCK).alias("blocks"))
-    )
-    rows = shared_table(keyed.join(mixed_buckets, ["at", "key"]), "omh_apart")
-    # Keys of a document's buckets of one block, in table order: two documents meet in all they
-    # share of these, and are paired in the first only.
-    whole = rows.where("blocks = 1").groupBy(F.col("doc_id").alias("id")).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("at", "key"))), lambda x: x["key"]).alias("whole")
-    )
-    block = F.pmod(F.xxhash64("at", "doc_id"), F.col("blocks"))
-    rows = rows.join(whole, F.col("doc_id") == F.col("id"), "left").select(
-        "at", "key", block.alias("block"), "doc_id", "n", "part", F.coalesce("whole", F.array().cast("array<bigint>")).alias("whole")
+        .select("at", "key", "size")
     )
-    rows = shared_table(rows, "omh_blocks")
-    other = rows.select("at", "key", "block", *(F.col(c).alias(f"other_{c}") for c in ("doc_id", "n", "part", "whole")))
-    shared = F.array_intersect("whole", "other_whole")
-    first = (F.size(shared) == 0) | (F.get(shared, F.lit(0)) == F.col("key"))
+    rows = keyed.join(mixed_buckets, ["at", "key"]).join(part.select("doc_id", "keys"), "doc_id")
+    rows = shared_table(rows, "omh_apart")
+    small = rows.where(F.col("size") <= BLOCK)
+    other = small.select("at", "key", *(F.col(c).alias(f"other_{c}") for c in ("doc_id", "n", "part", "keys")))
+    first = F.array_intersect("keys", "other_keys")[0] == F.col("key")
     apart = (F.col("doc_id") > F.col("other_doc_id")) & (F.col("part") != F.col("other_part"))
-    pairs = (
-        rows.join(other, ["at", "key", "block"])
-        .where(apart & _may_reach("n", "other_n", threshold) & first)
-        .select(*_ordered("doc_id", "other_doc_id"))
-        .distinct()
-    )
-    return pairs.join(seen, ["a", "b"], "left_anti")
+    pairs = small.join(other, ["at", "key"]).where(apart & _may_reach("n", "other_n", threshold) & first)
+    pairs = pairs.select("doc_id", "other_doc_id").union(_cell_pairs(rows.where(F.col("size") > BLOCK), docs, threshold))
+    return pairs.select(*_ordered("doc_id", "other_doc_id")).join(seen, ["a", "b"], "left_anti")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -263,7 +339,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     nodes = shared_table(nodes.select("digest", "first.doc_id", "first.n", "first.keys"), "omh_nodes")
     pairs = shared_table(candidates(nodes, threshold), "omh_candidates")
     links = shared_table(verified(pairs, rows.where("doc_id IS NOT NULL"), threshold).select("a", "b").distinct(), "omh_links")
-    more = shared_table(still_apart(nodes, components(links), pairs, threshold), "omh_more_candidates")
+    more = shared_table(still_apart(nodes, rows.where("doc_id IS NOT NULL"), components(links), pairs, threshold), "omh_more_candidates")
     found = verified(more, rows.where("doc_id IS NOT NULL"), threshold).select("a", "b").distinct()
     roots = components(links.union(shared_table(found, "omh_more_links")))
     classes = nodes.join(roots, F.col("doc_id") == F.col("node"), "left").select(
