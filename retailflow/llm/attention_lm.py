@@ -1,8 +1,8 @@
 """Score documents with a causal self-attention model learnt from the training documents.
 
-1. One pass counts the words of all training documents and cuts a short excerpt from every
-   stretch of each, so what is gathered grows with the corpus.
-2. The word counts give the counts of subwords and of subword pairs.
+1. One pass counts the words of all training documents and the subword pairs between
+   neighbouring words, and cuts each document into excerpts that hold all of its text.
+2. The word counts give the counts of subwords and of subword pairs inside words.
 3. Rounds of training, each on its share of all excerpts: every task trains from the same weights
    and the weights are averaged by tokens seen, summed in Spark position by position.
 4. One pass scores every token of every document. Frequent words (a bounded table) get their
@@ -30,13 +30,14 @@ SUBWORDS = 50_257  # ids of that file and one for the end mark
 END_ID = SUBWORDS - 1
 END = b""  # the end mark among words, which are never empty
 FOLDS, HELD_OUT = 5, 1
-EXCERPT_WORDS, EXCERPT_EVERY = 16, 512
+EXCERPT_WORDS = 128  # all text is cut into excerpts of so many words, the last of a document shorter
 ROUND_RATES = (4e-3, 2e-3)
-BATCH = 64  # excerpts of one step
+BATCH = 8  # excerpts of one step
 LEAST_STEPS = 100  # of a round; with few excerpts it passes over them again
 TASK_BYTES = 2 << 20  # of excerpts that one task trains on
 FREQUENT_WORDS = 200_000  # at most, broadcast with their counts
 CACHE_WORDS = 400_000
+CACHE_PAIRS = 1_000_000  # different pairs between words that a task gathers before it hands them on
 
 _encoders: dict = {}
 
@@ -65,47 +66,79 @@ def held_out(doc_id):
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS == HELD_OUT
 
 
-def gather(docs: DataFrame) -> DataFrame:
-    """Of training documents: word and n (summed by task), or an excerpt with its closing mark."""
+class _EdgeCache(dict):
+    """Number of each word, and by number its first and last subword."""
 
-    def rows(counts, excerpts, closed):
-        blank = [None] * len(counts)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([*counts, *[None] * len(excerpts)], pa.binary()),
-                pa.array([*counts.values(), *[None] * len(excerpts)], pa.int64()),
-                pa.array([*blank, *excerpts], pa.binary()),
-                pa.array([*blank, *closed], pa.bool_()),
-            ],
-            ["word", "n", "excerpt", "closed"],
-        )
+    def __init__(self, encode):
+        self.encode, self.first, self.last = encode, array("l"), array("l")
+
+    def __missing__(self, word: bytes) -> int:
+        pieces = subwords(word, self.encode)
+        self.first.append(pieces[0])
+        self.last.append(pieces[-1])
+        number = self[word] = len(self)
+        return number
+
+
+def _summed(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    if not codes:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    different, at = np.unique(np.concatenate(codes), return_inverse=True)
+    return different, np.bincount(at, np.concatenate(counts), len(different)).astype(np.int64)
+
+
+def gather(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """Of training documents: word and n (summed by task); an excerpt with its closing mark; or
+    pair (last subword of a word x SUBWORDS + first of the next) and n (summed by task). Before
+    the first word of a document stands the end mark."""
+    schema = pa.schema(
+        [("word", pa.binary()), ("n", pa.int64()), ("excerpt", pa.binary()), ("closed", pa.bool_()), ("pair", pa.int64())]
+    )
+
+    def rows(size, **columns):
+        given = [columns.get(f.name) for f in schema]
+        arrays = [pa.nulls(size, f.type) if c is None else pa.array(c, f.type) for f, c in zip(schema, given)]
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(tokenizer).encode_ordinary
         counts: Counter = Counter()
+        cache, codes, sums = _EdgeCache(encode), [], []
         for batch in batches:
-            excerpts, closed = [], []
-            seeds = batch.column(0).to_pylist()
-            for seed, text in zip(seeds, batch.column(1).to_pylist()):
-                words = _words(text)
-                counts.update(words)
-                counts[END] += 1
-                # The last stretch may be short; it gives its excerpt from anywhere in it too.
-                for a in range(0, max(len(words), 1), EXCERPT_EVERY):
-                    room = max(min(EXCERPT_EVERY, len(words) - a) - EXCERPT_WORDS, 0)
-                    seed = (seed * 6364136223846793005 + 1442695040888963407) % 2**64
-                    start = a + (seed >> 33) % (room + 1)
-                    excerpts.append(b" ".join(words[start : start + EXCERPT_WORDS]))
-                    closed.append(start + EXCERPT_WORDS >= len(words))
-            yield rows({}, excerpts, closed)
-            if len(counts) > CACHE_WORDS:
-                yield rows(counts, [], [])
-                counts = Counter()
-        yield rows(counts, [], [])
-
-    known = docs.where(~held_out(F.col("doc_id"))).select(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(2**62)).alias("seed"), "text"
-    )
-    return known.mapInArrow(run, "word binary, n long, excerpt binary, closed boolean")
+            for part in row_slices(batch, 0):
+                excerpts, closed, everything = [], [], [END]
+                for text in part.column(0).to_pylist():
+                    words = _words(text)
+                    counts.update(words)
+                    counts[END] += 1
+                    everything += words
+                    everything.append(END)
+                    for a in range(0, max(len(words), 1), EXCERPT_WORDS):
+                        excerpts.append(b" ".join(words[a : a + EXCERPT_WORDS]))
+                        closed.append(a + EXCERPT_WORDS >= len(words))
+                yield rows(len(excerpts), excerpt=excerpts, closed=closed)
+                at = np.fromiter(map(cache.__getitem__, everything), np.int64, len(everything))
+                first, last = np.array(cache.first), np.array(cache.last)
+                found, n = np.unique(last[at[:-1]] * SUBWORDS + first[at[1:]], return_counts=True)
+                codes.append(found)
+                sums.append(n)
+                if sum(map(len, codes)) > 2 * CACHE_PAIRS:
+                    found, n = _summed(codes, sums)
+                    codes, sums = [found], [n]
+                    if len(found) > CACHE_PAIRS:
+                        yield rows(len(found), pair=found, n=n)
+                        codes, sums = [], []
+                if len(counts) > CACHE_WORDS:
+                    yield rows(len(counts), word=list(counts), n=list(counts.values()))
+                    counts = Counter()
+                if len(cache) > CACHE_WORDS:
+                    cache = _EdgeCache(encode)
+        yield rows(len(counts), word=list(counts), n=list(counts.values()))
+        found, n = _summed(codes, sums)
+        yield rows(len(found), pair=found, n=n)
+
+    known = docs.where(~held_out(F.col("doc_id"))).select("text")
+    return known.mapInArrow(run, "word binary, n long, excerpt binary, closed boolean, pair long")
 
 
 def word_table(gathered: DataFrame, tokenizer: str) -> DataFrame:
@@ -121,8 +154,11 @@ def word_table(gathered: DataFrame, tokenizer: str) -> DataFrame:
     return counts.mapInArrow(run, "word binary, c long, pieces array<int>")
 
 
-def learn_vocabulary(words: DataFrame) -> attention.Vocabulary:
-    """Counts of subwords and their pairs; a table of at most SUBWORDS, then INPUTS x OUTCOMES."""
+def learn_vocabulary(words: DataFrame, between: DataFrame) -> attention.Vocabulary:
+    """Counts of subwords and their pairs; a table of at most SUBWORDS, then INPUTS x OUTCOMES.
+
+    between: pair and n of neighbouring words, as `gather` has them.
+    """
     single = words.select(F.explode("pieces").alias("piece"), "c").groupBy("piece").agg(F.sum("c").alias("n")).toArrow()
     counts = np.zeros(SUBWORDS)
     counts[single.column("piece").to_numpy()] = single.column("n").to_numpy()
@@ -130,11 +166,10 @@ def learn_vocabulary(words: DataFrame) -> attention.Vocabulary:
     inputs, outcomes = vocabulary.begin + 1, attention.CLASSES * attention.MEMBERS + 1
     own_in, own_out = vocabulary.inputs, vocabulary.outcomes
     shared = words.sparkSession.sparkContext.broadcast((own_in, own_out))
-    first, last = inputs * outcomes, inputs * outcomes + outcomes  # cells of first and last subwords
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_in, own_out = shared.value
-        cells = np.zeros(last + inputs)
+        cells = np.zeros(inputs * outcomes)
         for batch in batches:
             c = batch.column(0).to_numpy().astype(float)
             lists = batch.column(1)
@@ -146,22 +181,27 @@ def learn_vocabulary(words: DataFrame) -> attention.Vocabulary:
             at = np.flatnonzero(inner)
             each = np.repeat(c, sizes)
             pair = own_in[ids[at]].astype(np.int64) * outcomes + own_out[ids[at + 1]]
-            starts = own_out[ids[begin]].astype(np.int64)
-            ends = own_in[ids[begin + sizes - 1]].astype(np.int64)
-            places = np.concatenate((pair, first + starts, last + ends))
-            cells += np.bincount(places, np.concatenate((each[at], c, c)), len(cells))
+            cells += np.bincount(pair, each[at], len(cells))
+        at = np.flatnonzero(cells)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(cells[at])], ["cell", "n"])
+
+    def run_between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_in, own_out = shared.value
+        own_in = own_in.copy()
+        own_in[END_ID] = inputs - 1  # after the end mark a text begins
+        cells = np.zeros(inputs * outcomes)
+        for batch in batches:
+            before, after = np.divmod(batch.column(0).to_numpy(), SUBWORDS)
+            cells += np.bincount(own_in[before].astype(np.int64) * outcomes + own_out[after], batch.column(1).to_numpy(), len(cells))
         at = np.flatnonzero(cells)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(cells[at])], ["cell", "n"])
 
-    found = words.select("c", "pieces").mapInArrow(run, "cell long, n double").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    cells = np.zeros(last + inputs)
+    inside = words.select("c", "pieces").mapInArrow(run, "cell long, n double")
+    both = inside.union(between.select("pair", "n").mapInArrow(run_between, "cell long, n double"))
+    found = both.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    cells = np.zeros(inputs * outcomes)
     cells[found.column("cell").to_numpy()] = found.column("n").to_numpy()
-    pairs = cells[:first].reshape(inputs, outcomes)
-    starts, ends = cells[first:last], cells[last:]
-    # What follows the end of a word does not depend on it; a text begins after no word.
-    ends[vocabulary.begin] += ends[own_in[END_ID]]
-    ends[own_in[END_ID]] = 0
-    vocabulary.learn_pairs(pairs + np.outer(ends, starts / max(starts.sum(), 1)))
+    vocabulary.learn_pairs(cells.reshape(inputs, outcomes))
     return vocabulary
 
 
@@ -265,9 +305,9 @@ def score_documents(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     any. `tokenizer` is a rank file that every executor can read.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    gathered = shared_table(gather(rows), "lm_gathered")
+    gathered = shared_table(gather(rows, tokenizer), "lm_gathered")
     words = shared_table(word_table(gathered, tokenizer), "lm_words")
-    vocabulary = learn_vocabulary(words)
+    vocabulary = learn_vocabulary(words, gathered.where("pair IS NOT NULL"))
     excerpts = gathered.where("excerpt IS NOT NULL").select("excerpt", "closed")
     weights = train(excerpts, vocabulary, tokenizer)
     total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()

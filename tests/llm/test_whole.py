@@ -1,10 +1,11 @@
 """The whole job: cases that a cap, a sample or a threshold would lose."""
 
 import random
+from collections import Counter
 
 import corpus_pipeline
 from llm_helpers import SF_DIR
-from retailflow.llm import order_minhash
+from retailflow.llm import attention_lm, order_minhash
 
 
 def template_family(families, seed=3):
@@ -50,3 +51,26 @@ def test_op8_twins_in_a_large_template_family(spark):
     assert {r.doc_id: r.class_id for r in order_minhash.near_duplicates(docs).collect()} == want
     kept = corpus_pipeline.near_dedup(spark, docs, SF_DIR).collect()
     assert sorted(r.doc_id for r in kept) == sorted(set(want.values()))
+
+
+def test_op2_learns_from_all_text_and_real_pairs_across_words(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("ab cd ef gh".split()) for _ in range(n)) for n in (3000, 700, 3, 1)] + ["", None]
+    docs = spark.createDataFrame([(2 * i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    docs = docs.where(~attention_lm.held_out(docs["doc_id"]))
+    learnt = [(r.text or "").encode().split() for r in docs.collect()]
+    assert len(learnt) > 3
+    got = attention_lm.gather(docs, attention_lm.TOKENIZER).collect()
+    trained = Counter(w for r in got if r.excerpt is not None for w in bytes(r.excerpt).split())
+    assert trained == Counter(w for ws in learnt for w in ws)
+    assert sum(bool(r.closed) for r in got) == len(learnt)
+    encode = attention_lm.encoder(attention_lm.TOKENIZER).encode_ordinary
+    want = Counter()
+    for ws in learnt:
+        pieces = [attention_lm.subwords(w, encode) for w in (b"", *ws, b"")]
+        want.update(a[-1] * attention_lm.SUBWORDS + b[0] for a, b in zip(pieces, pieces[1:]))
+    found = Counter()
+    for r in got:
+        if r.pair is not None:
+            found[r.pair] += r.n
+    assert found == want
