@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 from retailflow.llm.shared import shared_table
 from retailflow.llm.words import row_slices
 
-MIN_CHUNK, MAX_CHUNK, CUT_BITS = 32, 256, 5  # 32 bytes, then 32 more on average
-MIN_RUN = 128
+# So fine that a passage of over 50 words (about 320 bytes) has a run of whole chunks in common.
+MIN_CHUNK, MAX_CHUNK, CUT_BITS = 16, 256, 4  # 16 bytes, then 16 more on average
+MIN_RUN = 64
+WINDOW = 32  # bytes of the hash; no cut so near to the start of a text that others would be hashed
 
 _GEAR = np.random.default_rng(11).integers(0, 2**32, 256, np.uint32)
 
@@ -46,7 +48,7 @@ def cut_points(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> list[li
             while m - last > MAX_CHUNK:
                 last += MAX_CHUNK
                 ends.append(last - f)
-            if m - last >= MIN_CHUNK:
+            if m - last >= MIN_CHUNK and m - f >= WINDOW:
                 last = m
                 ends.append(m - f)
         while stop - last > MAX_CHUNK:

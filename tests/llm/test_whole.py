@@ -3,9 +3,11 @@
 import random
 from collections import Counter
 
+import numpy as np
+
 import corpus_pipeline
 from llm_helpers import SF_DIR
-from retailflow.llm import attention_lm, order_minhash
+from retailflow.llm import attention_lm, chunking, order_minhash
 
 
 def template_family(families, seed=3):
@@ -74,3 +76,30 @@ def test_op2_learns_from_all_text_and_real_pairs_across_words(spark):
         if r.pair is not None:
             found[r.pair] += r.n
     assert found == want
+
+
+def test_op5_finds_passages_of_51_words(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 8))) for _ in range(5000)]
+    some = lambda n: " ".join(rng.choices(words, k=n))
+    rows, places = [], {}
+    for i in range(500):
+        passage, before = some(51), some(60) + " "
+        rows.append((i, f"{some(45)} {passage} {some(60)}"))
+        rows.append((1000 + i, f"{before}{passage} {some(30)}"))
+        places[1000 + i] = (len(before), len(before) + len(passage))
+    got = {r.doc_id: r for r in chunking.repeated_chunks(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    caught = sum(got[i].n_removed > 0 for i in places)
+    assert caught >= 0.99 * len(places)
+    assert sum(got[i].n_removed for i in places) >= 0.7 * sum(b - a for a, b in places.values())
+    # Nothing but the passages goes, but for bytes beside them that are equal by chance.
+    assert all(a - 4 <= s.start and s.end <= b + 4 for i, (a, b) in places.items() for s in got[i].spans or [])
+    assert not any(got[i].n_removed for i in range(500))
+
+
+def test_op5_cuts_do_not_depend_on_the_text_before(spark):
+    rng = np.random.default_rng(6)
+    texts = [rng.integers(97, 123, 400).astype(np.uint8) for _ in range(50)]
+    size = np.full(50, 400)
+    together = chunking.cut_points(np.concatenate(texts), np.cumsum(size) - size, size)
+    assert together == [chunking.cut_points(t, np.array([0]), np.array([400]))[0] for t in texts]
