@@ -18,6 +18,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -88,11 +89,11 @@ def _summed(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
 
 
 def gather(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """Of training documents: word and n (summed by task); an excerpt with its closing mark; or
-    pair (last subword of a word x SUBWORDS + first of the next) and n (summed by task). Before
+    """Of training documents: word and n (summed by task); an excerpt with its closing mark and
+    a number of its own; or pair (last subword of a word x SUBWORDS + first of the next) and n (summed by task). Before
     the first word of a document stands the end mark."""
     schema = pa.schema(
-        [("word", pa.binary()), ("n", pa.int64()), ("excerpt", pa.binary()), ("closed", pa.bool_()), ("pair", pa.int64())]
+        [("word", pa.binary()), ("n", pa.int64()), ("excerpt", pa.binary()), ("closed", pa.bool_()), ("pair", pa.int64()), ("number", pa.int64())]
     )
 
     def rows(size, **columns):
@@ -103,6 +104,7 @@ def gather(docs: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode_ordinary
         counts: Counter = Counter()
+        number = TaskContext.get().partitionId() << 40
         cache, codes, sums = _EdgeCache(encode), [], []
         for batch in batches:
             for part in row_slices(batch, 0):
@@ -116,7 +118,9 @@ def gather(docs: DataFrame, tokenizer: str) -> DataFrame:
                     for a in range(0, max(len(words), 1), EXCERPT_WORDS):
                         excerpts.append(b" ".join(words[a : a + EXCERPT_WORDS]))
                         closed.append(a + EXCERPT_WORDS >= len(words))
-                yield rows(len(excerpts), excerpt=excerpts, closed=closed)
+                numbers = np.arange(number, number + len(excerpts))
+                yield rows(len(excerpts), excerpt=excerpts, closed=closed, number=numbers)
+                number += len(excerpts)
                 at = np.fromiter(map(cache.__getitem__, everything), np.int64, len(everything))
                 first, last = np.array(cache.first), np.array(cache.last)
                 found, n = np.unique(last[at[:-1]] * SUBWORDS + first[at[1:]], return_counts=True)
@@ -138,7 +142,7 @@ def gather(docs: DataFrame, tokenizer: str) -> DataFrame:
         yield rows(len(found), pair=found, n=n)
 
     known = docs.where(~held_out(F.col("doc_id"))).select("text")
-    return known.mapInArrow(run, "word binary, n long, excerpt binary, closed boolean, pair long")
+    return known.mapInArrow(run, "word binary, n long, excerpt binary, closed boolean, pair long, number long")
 
 
 def word_table(gathered: DataFrame, tokenizer: str) -> DataFrame:
@@ -205,6 +209,11 @@ def learn_vocabulary(words: DataFrame, between: DataFrame) -> attention.Vocabula
     return vocabulary
 
 
+def place():
+    """Where an excerpt is dealt, below 2**32; equal ones go to different places by their number."""
+    return F.pmod(F.xxhash64("excerpt", "number"), F.lit(2**32))
+
+
 def train(excerpts: DataFrame, vocabulary: attention.Vocabulary, tokenizer: str) -> np.ndarray:
     """Weights after as many rounds as there are ROUND_RATES; each excerpt belongs to one."""
     context = excerpts.sparkSession.sparkContext
@@ -212,7 +221,6 @@ def train(excerpts: DataFrame, vocabulary: attention.Vocabulary, tokenizer: str)
     tasks = max(1, -(-size // (TASK_BYTES * len(ROUND_RATES))))
     # By the whole, not by the task: more tasks than planned must not mean more work.
     passes = -(-LEAST_STEPS * BATCH * tasks * len(ROUND_RATES) // max(n, 1))
-    place = F.pmod(F.xxhash64("excerpt"), F.lit(2**32))
     weights = attention.initial(vocabulary)
     for turn, rate in enumerate(ROUND_RATES):
         shared = context.broadcast((weights, vocabulary))
@@ -244,8 +252,8 @@ def train(excerpts: DataFrame, vocabulary: attention.Vocabulary, tokenizer: str)
                 ["i", "change", "tokens"],
             )
 
-        mine = excerpts.where(F.pmod(place, F.lit(len(ROUND_RATES))) == turn)
-        dealt = mine.repartition(tasks, F.floor(place / len(ROUND_RATES)))
+        mine = excerpts.where(F.pmod(place(), F.lit(len(ROUND_RATES))) == turn)
+        dealt = mine.repartition(tasks, F.floor(place() / len(ROUND_RATES)))
         moved = dealt.mapInArrow(run, "i int, change double, tokens long").groupBy("i")
         table = moved.agg((F.sum("change") / F.greatest(F.sum("tokens"), F.lit(1))).alias("change")).toArrow()
         step = np.zeros(len(weights))
@@ -308,7 +316,7 @@ def score_documents(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     gathered = shared_table(gather(rows, tokenizer), "lm_gathered")
     words = shared_table(word_table(gathered, tokenizer), "lm_words")
     vocabulary = learn_vocabulary(words, gathered.where("pair IS NOT NULL"))
-    excerpts = gathered.where("excerpt IS NOT NULL").select("excerpt", "closed")
+    excerpts = gathered.where("excerpt IS NOT NULL").select("excerpt", "closed", "number")
     weights = train(excerpts, vocabulary, tokenizer)
     total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     divisor = total + 0.5 * (distinct + 1)

@@ -78,6 +78,14 @@ def test_op2_learns_from_all_text_and_real_pairs_across_words(spark):
     assert found == want
 
 
+def test_op2_deals_equal_excerpts_to_many_places(spark):
+    docs = spark.range(1000).selectExpr("id AS doc_id", "'one text of all' AS text").repartition(3)
+    got = attention_lm.gather(docs, attention_lm.TOKENIZER).where("excerpt IS NOT NULL")
+    places = [r.place for r in got.select(attention_lm.place().alias("place")).collect()]
+    assert len(places) > 700 and len(set(places)) > 0.99 * len(places)
+    assert all(0.4 < sum(p % 2 == turn for p in places) / len(places) < 0.6 for turn in (0, 1))
+
+
 def test_op5_finds_passages_of_51_words(spark):
     rng = random.Random(5)
     words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 8))) for _ in range(5000)]
