@@ -107,7 +107,7 @@ def source_plan(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
 def mix(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
     """`docs` with mix_size (words), mix_source_size, mix_target and mix_copies (0 to max_epochs).
 
-    Needs doc_id, text, source; other columns pass through, columns of these names are
+    Needs doc_id, text, source; other columns pass through, columns of these four names are
     replaced. A null text has no words, null sources form one source (the last), a null id
     has the place of an empty one. Rows with the same id are taken alike. An empty table gives
     an empty result. The words taken of a source differ from its target by half a document
@@ -120,19 +120,22 @@ def mix(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
         "passes",
         "cut",
     )
-    new = ["mix_size", "mix_place", "mix_source", "mix_source_size", "mix_target", "mix_copies", "passes", "cut"]
-    sized = _sized(docs.drop(*new), seed)
+    new = ["mix_size", "mix_source_size", "mix_target", "mix_copies"]
+    # The documents' own columns travel as one, so none of their names meets one used here.
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in new]).alias("_document")
+    sized = _sized(docs.select(own, "doc_id", "text", "source"), seed)
     # One small row per source: Spark broadcasts it by its size or splits a hot source.
     joined = sized.join(plan, sized["source"].eqNullSafe(plan["mix_source"]))
     once_more = F.coalesce(F.col("mix_place") <= F.col("cut"), F.lit(False)).cast("long")
-    return joined.withColumn("mix_copies", F.col("passes") + once_more).drop(
-        "mix_place", "mix_source", "passes", "cut"
-    )
+    return joined.withColumn("mix_copies", F.col("passes") + once_more).select("_document.*", *new)
 
 
 def mixed_documents(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
-    """The mixture itself: each document as often as it is taken, with its own columns."""
-    copies = mix(docs, seed, **options).where("mix_copies > 0")
-    return copies.withColumn("mix_copies", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))).select(
-        *docs.columns
-    )
+    """The mixture itself: each row as often as it is taken, with its own columns, whatever their names.
+
+    Nulls, repeated rows and empty tables as in `mix`; documents without words are not taken.
+    """
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole")
+    copies = mix(docs.select(own, "doc_id", "text", "source"), seed, **options).where("mix_copies > 0")
+    times = F.explode(F.sequence(F.lit(1), F.col("mix_copies")))
+    return copies.withColumn("mix_copies", times).select("_whole.*")

@@ -213,29 +213,33 @@ def _fold(column):
 def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> Trees:
     """Trees from labelled documents outside the held-out fold.
 
-    About `max_rows` of them at most, by a hash of the id, so the sample and what
-    reaches the driver are bounded whatever the tables hold. Labels other than 0 and 1 are left
-    out; a document labelled twice counts twice.
+    `max_rows` labels at most, those with the least hashes of the id, so the sample and what
+    reaches the driver are bounded whatever the tables hold, and are the same for any
+    partitions. Labels other than 0 and 1 are left out; a document labelled twice counts twice.
     """
     known = labels.select(F.col("doc_id").alias("label_id"), F.col("quality").alias("y")).where(
         F.col("y").isin(0, 1) & F.col("label_id").isNotNull() & (_fold(F.col("label_id")) != 0)
     )
-    share = min(1.0, max_rows / max(known.count(), 1))
-    step = F.pmod(F.xxhash64("label_id"), F.lit(HASH_STEPS))
-    # No more than max_rows and chance allow: ids and labels of that many rows are broadcast.
-    sample = known.where(step < int(share * HASH_STEPS)).limit(max_rows)
+    share = min(1.0, 1.2 * max_rows / max(known.count(), 1))
+    known = known.withColumn("place", F.xxhash64("label_id"))
+    # The filter only spares the sort most rows; ids and labels of max_rows rows are broadcast.
+    near = known.where(F.pmod("place", F.lit(HASH_STEPS)) <= int(share * HASH_STEPS))
+    step = F.pmod("place", F.lit(HASH_STEPS))
+    sample = near.orderBy(step, "place", "label_id", "y").limit(max_rows)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in row_slices(batch, 1):
                 x = statistics(part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(list(x), pa.list_(pa.float64()))], ["y", "x"])
+                columns = [part.column(0), pa.array(list(x), pa.list_(pa.float64())), part.column(2)]
+                yield pa.RecordBatch.from_arrays(columns, ["y", "x", "place"])
 
     rows = (
         docs.select("doc_id", "text")
         .join(F.broadcast(sample), F.col("doc_id") == F.col("label_id"))
-        .select(F.col("y").cast("double"), "text")
-        .mapInArrow(measure, "y double, x array<double>")
+        .select(F.col("y").cast("double"), "text", "place")
+        .mapInArrow(measure, "y double, x array<double>, place long")
+        .orderBy("place", "y", "x")
         .limit(2 * max_rows)
         .toArrow()
     )
@@ -274,7 +278,11 @@ def quality_report(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The documents with a score of REJECT_BELOW or more, with their columns."""
+    """The documents with a score of REJECT_BELOW or more, with their columns, whatever their names.
+
+    A null text is judged as an empty one, repeated rows and null ids alike; an empty table
+    gives an empty one.
+    """
     trees = docs.sparkSession.sparkContext.broadcast(fit_quality(docs, labels, **options))
     place = docs.columns.index("text")
 

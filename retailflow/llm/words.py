@@ -62,7 +62,7 @@ def shingle_codes(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
         total = code * _BY_WORD[0]
         for j in range(1, SHINGLE):
-            total[: len(code) - j] += code[j:] * _BY_WORD[j]
+            total[: max(len(code) - j, 0)] += code[j:] * _BY_WORD[j]
     last = np.cumsum(counts)
     left = np.repeat(last, counts) - np.arange(len(code))  # words from here to the end of the text
     # Of a short text the first word stands for all; the words past its end are taken out.
