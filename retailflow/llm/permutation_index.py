@@ -24,7 +24,6 @@ PIVOT_SAMPLE = 1024  # vectors among which pivots are chosen
 BLOCK = 4096
 QUERY_BLOCK = 1024
 RERANK_SHARE = 0.25
-LEAST_RERANK = 512  # of a block, so that small tables are searched whole
 TOP = 20
 
 
@@ -88,7 +87,7 @@ def search_block(ids, vectors, query_ids, queries, pivots, length, top=TOP, shar
     # A query is a direction only: the added coordinate is zero.
     own = places(np.concatenate((queries, np.zeros((len(queries), 1))), 1), pivots)
     n = len(ids)
-    count = min(n, max(LEAST_RERANK, top, math.ceil(share * n)) + 1)
+    count = min(n, max(top, math.ceil(share * n)) + 1)
     out = ([], [], [])
     for i, query_id in enumerate(query_ids):
         key = footrule(files, own[:, i]).astype(np.int64) * n + np.arange(n)  # ties to the smaller id
