@@ -6,12 +6,15 @@ from pyspark.sql import functions as F
 from retailflow.llm.attention_lm import score_documents
 from retailflow.llm.chunking import repeated_chunks
 from retailflow.llm.content_sort import content_sort
+from retailflow.llm.divergence import divergence_audit
+from retailflow.llm.fp_tree import lexical_search
 from retailflow.llm.mixing import mix
 from retailflow.llm.order_minhash import near_duplicates
 from retailflow.llm.packing import pack_documents
 from retailflow.llm.permutation_index import nearest
 from retailflow.llm.quality import quality_report
 from retailflow.llm.suffix_dedup import suffix_dedup
+from retailflow.llm.toxicity import toxicity_report
 from retailflow.llm.warc import archive_pages, index_captures
 
 
@@ -76,6 +79,18 @@ def op10_content_sort(spark, sf_dir):
     return rows.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op11_source_divergence(spark, sf_dir):
+    return divergence_audit(_table(spark, sf_dir, "documents"))
+
+
+def op12_fp_tree_search(spark, sf_dir):
+    return lexical_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_toxicity_trees(spark, sf_dir):
+    return toxicity_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -89,6 +104,9 @@ QUERIES = {
         op8_order_minhash,
         op9_source_mixing,
         op10_content_sort,
+        op11_source_divergence,
+        op12_fp_tree_search,
+        op13_toxicity_trees,
     )
 }
 
@@ -146,5 +164,65 @@ WITH t AS (SELECT doc_id, sha256({_LOWER}) AS text_sha256 FROM documents)
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, text_sha256
 FROM t WINDOW g AS (PARTITION BY text_sha256)
+""",
+    "op11_source_divergence": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), t AS (SELECT row, lang, source, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT row) >= 10),
+c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+l AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS n FROM kept GROUP BY lang),
+g AS (
+  SELECT lang, source, coalesce(any_value(s.n), 0)::HUGEINT AS n FROM d
+  LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY lang, source) s USING (lang, source)
+  GROUP BY lang, source
+), p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS times,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.n + 2 * l.v) AS p,
+         1 + (1000000000::HUGEINT * (kept.n + 2)) // (l.n + 2 * l.v) AS q
+  FROM g JOIN kept USING (lang) JOIN l USING (lang) LEFT JOIN c USING (lang, source, term)
+), f AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source
+), r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p WHERE times > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM r
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+""",
+    "op12_fp_tree_search": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), s AS (SELECT count(*) AS docs, sum(len(terms))::BIGINT AS total FROM d WHERE len(terms) > 0),
+t AS (
+  SELECT row, doc_id, n, term, count(*) AS tf
+  FROM (SELECT row, doc_id, len(terms) AS n, unnest(terms) AS term FROM d) GROUP BY ALL
+), i AS (
+  SELECT DISTINCT item_id, text,
+         unnest(list_distinct(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term
+  FROM benchmark
+), w AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM t CROSS JOIN s GROUP BY term
+), r AS (
+  SELECT item_id, text, row, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total))))::BIGINT AS score
+  FROM i JOIN t USING (term) JOIN w USING (term) CROSS JOIN s
+  GROUP BY item_id, text, row, doc_id
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score
+  FROM r WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 50
 """,
 }

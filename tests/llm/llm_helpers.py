@@ -5,7 +5,7 @@ from collections import Counter
 import duckdb
 
 SF_DIR = "/root/testdata/sf0.001"
-TABLES = ("documents", "embeddings", "pages", "labels")
+TABLES = ("documents", "embeddings", "pages", "labels", "benchmark")
 
 # Names that operators use inside.
 CLASHES = (

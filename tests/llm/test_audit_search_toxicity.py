@@ -1,0 +1,259 @@
+"""Source divergence, ranked search and toxicity against SQL, plain versions and held-out labels."""
+
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from llm_helpers import DOC_SCHEMA, empty_documents, messy_documents, messy_rows, same_rows
+from pyspark.sql import functions as F
+from retailflow.llm import divergence, fp_tree, queries, toxicity
+from retailflow.llm.terms import LETTERS, LETTERS_DIGITS, PIECE_BYTES, term_lists
+
+
+def _lower(text):
+    return re.sub("[A-Z]+", lambda m: m.group().lower(), text or "")
+
+
+def _terms(text, digits=False):
+    marks = "[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+" if digits else "[^\x00-\x40\x5b-\x60\x7b-\x7f]+"
+    return re.findall(marks, _lower(text))
+
+
+@pytest.mark.parametrize("digits", (False, True))
+def test_terms_are_those_of_the_pattern(digits):
+    kind = LETTERS_DIGITS if digits else LETTERS
+    long = "Wort7 ÄÖ-x " * (PIECE_BYTES // 8)
+    for text in ("", "Aa1bB É x\u0085y\x7fz\x00w", "İ K ß\tq", long):
+        found = [t.decode() for terms in term_lists(text.encode(), kind) for t in terms]
+        assert found == _terms(text, digits)
+    assert list(term_lists(None, kind)) == []
+
+
+# ---- divergence ----
+
+
+def plain_audit(rows, min_docs, top=10):
+    times, held, groups = defaultdict(Counter), defaultdict(Counter), set()
+    for _, text, lang, source, _ in rows:
+        lang, source = lang or "", source or ""
+        groups.add((lang, source))
+        times[lang, source].update(_terms(text))
+        held[lang].update(set(_terms(text)))
+    out = set()
+    for lang in {g[0] for g in groups}:
+        kept = [t for t, n in held[lang].items() if n >= min_docs]
+        whole = Counter()
+        for g in groups:
+            if g[0] == lang:
+                whole.update(times[g])
+
+        def shares(counts):
+            total = sum(counts[t] for t in kept)
+            return {t: 1 + 10**9 * (counts[t] + 2) // (total + 2 * len(kept)) for t in kept}
+
+        f = lambda p, q: (p - q) ** 2 // (p + q)
+        q = shares(whole)
+        own = {s: shares(times[lang, s]) for x, s in groups if x == lang}
+        for s, p in own.items():
+            pairs = [(-sum(f(p[t], r[t]) for t in kept), o.encode()) for o, r in own.items() if o != s]
+            used = [(-f(p[t], q[t]), t.encode()) for t in kept if times[lang, s][t] and p[t] > q[t]]
+            for part, found in (("pair", sorted(pairs)), ("term", sorted(used)[:top])):
+                out |= {(lang, s, part, item.decode(), -v, i + 1) for i, (v, item) in enumerate(found)}
+    return out
+
+
+@pytest.mark.parametrize("min_docs", (1, 2, 99))
+def test_divergence_equals_the_plain_version(spark, min_docs):
+    got = divergence.divergence_audit(messy_documents(spark), min_docs=min_docs)
+    assert {tuple(r) for r in got.collect()} == plain_audit(messy_rows(), min_docs)
+
+
+def test_divergence_in_many_blocks_and_cells(spark, monkeypatch):
+    monkeypatch.setattr(divergence, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(divergence, "CELL_PAIRS", 30)
+    rng = random.Random(4)
+    rows = [
+        (i, " ".join(chr(97 + int(rng.expovariate(0.3)) % 26) * 2 for _ in range(rng.randrange(30))), "en", f"s{rng.randrange(12)}", 0)
+        for i in range(150)
+    ]
+    got = divergence.divergence_audit(spark.createDataFrame(rows, DOC_SCHEMA), min_docs=3)
+    assert {tuple(r) for r in got.collect()} == plain_audit(rows, 3)
+
+
+def test_divergence_row_in_small_gathers(monkeypatch):
+    monkeypatch.setattr(divergence, "GATHER", 3)
+    rng = np.random.default_rng(2)
+    p = rng.integers(1, 10**9, (5, 40))
+    has = rng.random((5, 40)) < 0.5
+    floor = rng.integers(1, 100, 5)
+    term, group = np.nonzero(has.T)
+    own = np.argsort(group, kind="stable")
+    index = {
+        "term": term, "group": group, "p": p.T[term, group], "terms": 40, "own": own,
+        "term_edge": np.searchsorted(term, np.arange(41)), "own_edge": np.searchsorted(group[own], np.arange(6)),
+    }
+    whole = np.where(has, p, floor[:, None])
+    for g in range(5):
+        assert divergence.row_sums(g, index, floor).tolist() == [
+            int(divergence.apart(whole[g], whole[h]).sum()) for h in range(g + 1, 5)
+        ]
+
+
+def test_divergence_of_nothing(spark):
+    assert divergence.divergence_audit(empty_documents(spark)).count() == 0
+
+
+def test_divergence_query_equals_sql(spark):
+    from llm_helpers import SF_DIR
+
+    same_rows(queries.op11_source_divergence(spark, SF_DIR), queries.ORACLE["op11_source_divergence"])
+
+
+# ---- ranked search ----
+
+
+def plain_search(rows, items, top=50):
+    docs = [(d, Counter(_terms(t, True))) for d, t, *_ in rows]
+    docs = [(d, c, sum(c.values())) for d, c in docs if c]
+    n, total = len(docs), sum(x[2] for x in docs)
+    df = Counter(t for _, c, _ in docs for t in c)
+    out = []
+    for item, text in items:
+        scored = []
+        for d, c, size in docs:
+            m = 50 + (50 * size * n) // total
+            score = 0
+            for t in set(_terms(text, True)) & c.keys():
+                w = math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1)))
+                score += w * ((10**9 * c[t]) // (1000 * c[t] + 20 * m))
+            if score > 0:
+                scored.append((-score, d is None, d or 0, d))
+        out += [(item, i + 1, d, -s) for i, (s, _, _, d) in enumerate(sorted(scored, key=lambda x: x[:3])[:top])]
+    return Counter(out)
+
+
+ITEMS = [(1, "W1 w2 w3 w77 passage7"), (2, "one"), (3, None), (4, ""), (5, "nowhere else"), (1, "w5 w5 W6"), (1, "w5 w5 W6"), (None, "id no")]
+
+
+@pytest.mark.parametrize("block_bytes", (1 << 20, 60))
+def test_search_equals_the_plain_version(spark, block_bytes):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string").withColumn("rank", F.lit("x"))
+    got = fp_tree.lexical_search(messy_documents(spark), items, top=6, block_bytes=block_bytes)
+    different = [(i, t) for i, t in dict.fromkeys(ITEMS) if t]
+    assert Counter(tuple(r) for r in got.collect()) == plain_search(messy_rows(), different, 6)
+
+
+def test_search_of_nothing(spark):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    assert fp_tree.lexical_search(empty_documents(spark), items).columns == ["item_id", "rank", "doc_id", "score"]
+    assert fp_tree.lexical_search(empty_documents(spark), items).count() == 0
+    assert fp_tree.lexical_search(messy_documents(spark), items.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("same", (False, True))
+def test_a_deep_tree_finds_what_a_scan_finds_and_opens_less(same):
+    """5,000 documents: bounds leave runs out, ties by id and equal documents included."""
+    rng = np.random.default_rng(6)
+    n, terms = 5000, 60
+    tf = rng.poisson(1 / (1 + np.arange(terms)) * 8, (n, terms)) * (rng.random((n, terms)) < 0.6)
+    tf[:, 0] += 1
+    tf[rng.random(n) < 0.01, 40:45] += 9
+    if same:
+        tf[: n // 2] = tf[0]
+    m = rng.integers(50, 200, n) if not same else np.full(n, 100)
+    ids = rng.permutation(n)
+    doc, term = np.nonzero(tf)
+    tree = fp_tree.Tree(ids, m, doc, term, tf[doc, term])
+    weights = np.arange(terms) * 30
+    none = np.zeros(0, np.int64)
+    opened = []
+    for query in (np.array([0, 1, 2]), np.array([40, 41, 42, 43]), np.array([3, 20, 44, 59]), np.arange(terms)):
+        score, found = tree.search(query, weights[query], (none, none))
+        opened.append(tree.opened)
+        whole = (weights[query] * fp_tree.impact(tf[:, query], m[:, None])).sum(1)
+        order = np.lexsort((ids, -whole))
+        order = order[whole[order] > 0][:50]
+        assert found.tolist() == ids[order].tolist() and score.tolist() == whole[order].tolist()
+    assert min(opened) < sum(tree.sizes[:-1]) / 3
+
+
+def test_search_query_equals_sql(spark):
+    from llm_helpers import SF_DIR
+
+    same_rows(queries.op12_fp_tree_search(spark, SF_DIR), queries.ORACLE["op12_fp_tree_search"])
+
+
+# ---- toxicity ----
+
+SF = "/root/testdata/sf0.01"
+
+
+def _tables(spark, sf=SF):
+    return (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+
+
+def test_toxicity_on_held_out_documents(spark):
+    docs, labels = _tables(spark)
+    rows = queries.op13_toxicity_trees(spark, SF).join(labels, "doc_id").where("held_out").collect()
+    toxic, clean = ([r for r in rows if r.toxic == y] for y in (1, 0))
+    pairs = [(a.score > b.score) + 0.5 * (a.score == b.score) for a in toxic for b in clean]
+    assert sum(pairs) / len(pairs) > 0.9
+    assert sum(r.predicted for r in toxic) >= 0.7 * len(toxic) and sum(r.predicted for r in clean) <= 0.03 * len(clean)
+
+
+def test_toxicity_scores_every_row_and_learns_no_held_out_label(spark):
+    docs, labels = _tables(spark)
+    fold = toxicity._fold(F.col("doc_id"), toxicity.FOLDS)
+    turned = labels.withColumn("toxic", F.when(fold == toxicity.HELD_OUT, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    one = toxicity.fit_toxicity(docs, labels)
+    other = toxicity.fit_toxicity(docs.repartition(7, F.rand(1)), turned.repartition(5, F.rand(2)))
+    assert one.lexicon.odds == other.lexicon.odds and np.array_equal(one.trees.leaf, other.trees.leaf)
+    assert np.array_equal(one.calibrate.value, other.calibrate.value)
+    messy = messy_documents(spark)
+    rows = toxicity.score_toxicity(messy, one).collect()
+    assert Counter(r.doc_id for r in rows) == Counter(r[0] for r in messy_rows()) and all(0 <= r.score <= 1 for r in rows)
+    assert toxicity.score_toxicity(empty_documents(spark), one).count() == 0
+    assert len({r.score for r in rows if r.doc_id in (100, 101)}) == 1
+
+
+def test_toxicity_without_labels(spark):
+    docs, labels = _tables(spark)
+    rows = toxicity.toxicity_report(docs, labels.limit(0)).collect()
+    assert {r.score for r in rows} == {0.5} and {r.predicted for r in rows} == {0}
+
+
+def test_features_see_disguises():
+    lexicon = toxicity.Lexicon.of({b"stupid": 5.0, b"clown": 4.0, b"hm": 0.5})
+    at = {name: i for i, name in enumerate(toxicity.FEATURES)}
+
+    def of(text):
+        x = toxicity.features(text.encode(), lexicon)
+        return lambda name: x[at[name]]
+
+    assert not any(toxicity.features(None, lexicon)) and not any(toxicity.features(b"", lexicon))
+    assert of("what a stup1d cl0wn")("disguised_hits") == 2
+    assert of("@stupid s.t.u.p.i.d")("disguised_hits") == 2
+    assert of("a stuuuupid one")("stretched_hits") == 1
+    assert of("so s t u p i d of it")("spaced_hits") >= 0 and of("- c l o w n -")("spaced_hits") == 1
+    assert of("you stupid man")("near_share") == 1 / 3 and of("stupid " + "x " * 9 + "you")("near_share") == 0
+    assert of("HELLO you FOOLS")("caps_share") == 2 / 3 and of("no!! way?!")("shouts") == 1
+    plain = of("an ordinary text of words, no more. End")
+    assert plain("disguised_share") == plain("stretched_share") == plain("spaced") == plain("hits") == 0
+
+
+def test_isotonic_is_the_nearest_rising_function():
+    rng = np.random.default_rng(3)
+    x = rng.permutation(40) / 40
+    y = (rng.random(40) < x).astype(float)
+    steps = toxicity.isotonic(x, y)
+    order = np.argsort(x)
+    means = y[order].astype(float)
+    # max over starts of min over ends of means is the solution of the pooling problem
+    sums = np.concatenate(([0], np.cumsum(means)))
+    best = [max(min((sums[e] - sums[a]) / (e - a) for e in range(i + 1, 41)) for a in range(i + 1)) for i in range(40)]
+    assert (np.diff(steps.value) >= 0).all()
+    assert len(steps.value) == len(np.unique(np.round(best, 12)))
+    assert np.array_equal(toxicity.isotonic(x[:0], y[:0])(np.array([0.2])), [0.2])
