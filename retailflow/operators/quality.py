@@ -1,5 +1,9 @@
 """Profiling and de-duplication."""
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,15 +96,16 @@ def group_counts(df: DataFrame, keys: list[str]) -> DataFrame:
 def partition_sizes(df: DataFrame) -> DataFrame:
     """Rows in each partition, the empty ones with 0: as many rows as `df` has partitions.
 
-    Partitions are those `df` has as it stands; where adaptive execution would
-    join small ones, repartition to a number first.
+    One pass and no job before it is asked for. Every task reports itself, which Spark's own
+    aggregates can't do for a task without rows; what goes to Python is one number per row.
     """
-    spark = df.sparkSession
-    held = df.groupBy(F.spark_partition_id().alias("_held")).agg(F.count("*").alias("rows"))
-    every = spark.range(df.rdd.getNumPartitions()).select(F.col("id").cast("int").alias("partition_id"))
-    return every.join(held, F.col("partition_id") == F.col("_held"), "left").select(
-        "partition_id", F.coalesce("rows", F.lit(0)).alias("rows")
-    )
+
+    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sum(batch.num_rows for batch in batches)
+        task = TaskContext.get().partitionId()
+        yield pa.RecordBatch.from_arrays([pa.array([task], pa.int32()), pa.array([rows], pa.int64())], ["partition_id", "rows"])
+
+    return df.select(F.lit(True).alias("row")).mapInArrow(report, "partition_id int, rows long")
 
 
 def partition_profile(df: DataFrame, col: str) -> DataFrame:

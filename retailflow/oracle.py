@@ -152,6 +152,16 @@ ORACLE = {
         UNION ALL SELECT 'branches', '10', count(*) FROM branches
         UNION ALL SELECT 'sales_agents', '10', count(*) FROM agents""",
         "raw", "branches", "agents"),
+    "landing_inventory": _sql(
+        """SELECT lpad(CAST(h AS varchar), 2, '0') AS hour,
+          CASE WHEN h = 7 THEN 'absent' WHEN h = 10 THEN 'empty' ELSE 'found' END AS state,
+          (SELECT count(*) FROM raw WHERE h = CASE is_online WHEN 'yes' THEN 8 ELSE 9 END) AS rows
+        FROM range(7, 11) t(h)""", "raw"),
+    "wide_run_scan": _sql(
+        """SELECT *, CAST(9 AS int) AS "Extraction_Hour" FROM clean WHERE is_online <> 'yes'""", "clean"),
+    "product_history": _sql(
+        "SELECT * FROM clean WHERE product_name = (SELECT min(product_name) FROM clean)", "clean"),
+    "committed_runs_fact": _sql("SELECT * FROM fact WHERE is_online = 'yes'", "fact"),
     "orc_partition_scan": _all_of("clean"),
     "bucketed_table_roundtrip": _all_of("clean"),
     "dim_append_roundtrip": _sql(
@@ -165,12 +175,21 @@ ORACLE = {
     "daily_dump_roundtrip": _SOLD_BY_AGENT,
     "daily_two_hours": _SOLD_BY_AGENT,
     "stream_sink_roundtrip": _all_of("stored"),
+    "stream_restart_roundtrip": _all_of("stored"),
+    "compact_events_incremental": _all_of("stored"),
     "compact_events": _all_of("stored"),
     "compact_events_two_files": _all_of("stored"),
     "describe_fact": f"""SELECT column_name AS col_name,
       CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int'
         ELSE lower(column_type) END AS data_type
       FROM (DESCRIBE {_all_of("fact")})""",
+    "describe_sections": f"""SELECT 'column' AS section, column_name AS name,
+      CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int'
+        ELSE lower(column_type) END AS type
+      FROM (DESCRIBE {_all_of("clean")})
+      UNION ALL VALUES ('partition', 'Extraction_Year', 'int'), ('partition', 'Extraction_Month', 'int'),
+        ('bucket', 'product_name', '8'), ('sort', 'product_name', '8'),
+        ('table', 'Type', 'managed'), ('table', 'Provider', 'orc')""",
     "null_profile": _sql(_NULL_COUNTS, "raw"),
     "row_count": _sql("SELECT count(*) AS row_count FROM raw", "raw"),
     "duplicate_groups": _sql(
@@ -191,6 +210,9 @@ ORACLE = {
         GROUP BY m""", "clean"),
     "partition_sizes": _sql(
         "SELECT CAST(32 AS bigint) AS partitions, count(*) AS rows FROM clean", "clean"),
+    "partition_sizes_each": _sql(
+        """SELECT CAST(i AS int) AS partition_id, count(branch_id) AS rows
+        FROM range(32) t(i) LEFT JOIN clean ON CAST(branch_id AS int) % 32 = i GROUP BY i""", "clean"),
     "partition_profile": _sql(
         """SELECT branch_id AS value, CAST(1 AS bigint) AS partitions, count(*) AS rows
         FROM clean GROUP BY branch_id""", "clean"),

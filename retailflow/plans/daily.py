@@ -22,8 +22,8 @@ def run_daily(
     as_of: date | str,
     mode: str = "error",
 ) -> str:
-    """Write the report over all sales kept in the wide table; returns its folder, named by date."""
+    """Write the report over all whole runs kept in the wide table; returns its folder, named by date."""
     agents = src.read_landing(spark, agents_base, "sales_agents", agents_day)
     path = f"{out.rstrip('/')}/{as_of}"
-    src.dump_csv(daily_report(spark.table(wide_table), agents), path, mode)
+    src.dump_csv(daily_report(src.committed(spark, wide_table), agents), path, mode)
     return path

@@ -59,7 +59,8 @@ def run_hourly(
     The clean-up shuffle runs once, for the wide table. The star schema is then
     built from the rows of this run in that table, each dimension scanning its own
     columns. Loading an hour again replaces what it loaded before. Customers and
-    products have one row per key, the first loaded.
+    products have one row per key, the first loaded. The run is marked as whole after the
+    last table; until then `committed` reads leave it out.
 
     Without `keep_history` the wide table holds this run only and facts are
     appended as they come.
@@ -69,6 +70,7 @@ def run_hourly(
     raw = src.read_landing(spark, base, "sales_transactions", as_of, hour)
     cleaned = op.clean_sales(raw, as_of)
     if keep_history:
+        src.open_run(spark, database, as_of, hour)
         src.load_wide_run(cleaned, tables.wide, as_of, hour, buckets)
         this_run = (F.col("extraction_date") == F.lit(as_of).cast("date")) & (
             F.col("Extraction_Hour") == int(hour)
@@ -84,15 +86,17 @@ def run_hourly(
     src.load_dim(op.date_dim(wide), tables.date)
     if keep_history:
         src.load_fact_run(op.fact(wide), tables.fact, as_of, hour)
+        src.commit_run(spark, database, as_of, hour)
     else:
         src.append_fact(op.fact(wide), tables.fact)
     return tables
 
 
 def hourly_reports(spark: SparkSession, tables: HourlyTables) -> dict[str, DataFrame]:
-    fact = spark.table(tables.fact)
-    product = spark.table(tables.product)
-    location = spark.table(tables.location)
+    """The reports over all whole runs."""
+    fact = src.committed(spark, tables.fact)
+    product = src.one_per_key(spark, tables.product, ["product_id"])
+    location = src.one_per_key(spark, tables.location)
     return {
         "top_products": op.top_products(fact, product),
         "offer_redemptions": op.offer_redemptions(fact),

@@ -6,9 +6,10 @@ order their columns differently or lack optional ones: those with the same
 header are read together, and a column that a file lacks is NULL in its rows.
 """
 
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,36 +17,42 @@ from pyspark.sql import types as T
 from retailflow.constants import LANDING_FILES
 
 LANDING_FILE = "landing_file"
+# The last such part of a path; a folder above may have a name like it.
+HOUR_IN_NAME = r".*_(\d{2})\.csv"
 
 
-def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """Files by their header. Spark reads one line of each file for that."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    # Empty files have no header and no rows; the parts of a dump among them.
-    files = [r.path for r in listed.where("length > 0").select("path").collect()]
+def _headers(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
+    """Header lines with the files that begin with them; empty files have none.
 
-    def header(file: str) -> tuple[str, ...]:
-        return tuple(spark.read.option("header", True).csv(file).columns)
-
-    with ThreadPoolExecutor(8) as pool:
-        headers = list(pool.map(header, sorted(files)))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file, names in zip(sorted(files), headers):
-        groups.setdefault(names, []).append(file)
-    return groups
+    One job finds the first line of every file, whatever their number: only lines of a
+    file's first split are compared, each task sends one line per file on, and the files are
+    grouped by that line. Spark lists the files on the driver for any read; what
+    comes back here is that list once more, by header.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    begins = (F.col("_metadata.file_block_start") == 0) & (F.trim("value") != "")
+    lines = lines.where(begins).select(
+        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at")
+    )
+    files = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    groups = files.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return [(r.header, r.files) for r in groups.orderBy("header").collect()]
 
 
 def _read_csv(spark: SparkSession, path: str, with_file: bool = False) -> DataFrame:
     groups = _headers(spark, path)
+    reader = spark.read.option("header", True)
     if not groups:
-        return spark.read.option("header", True).csv(path)
+        return reader.csv(path)
     parts = []
-    for names, files in groups.items():
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        part = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(files)
+    for _, files in groups:
+        # Spark's own reading of a header, from one file of those that share it.
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in reader.csv(files[0]).columns])
+        rows = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+        one_kind = rows.option("recursiveFileLookup", True).csv(path if len(groups) == 1 else files)
         if with_file:
-            part = part.withColumn(LANDING_FILE, F.col("_metadata.file_path"))
-        parts.append(part)
+            one_kind = one_kind.withColumn(LANDING_FILE, F.col("_metadata.file_path"))
+        parts.append(one_kind)
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part, allowMissingColumns=True)
@@ -89,9 +96,38 @@ def read_entity(
     return _read_csv(spark, f"{base.rstrip('/')}/{prefix}*", with_file)
 
 
+def landing_inventory(
+    spark: SparkSession, base: str, kind: str, day: date | str, hours: Iterable[int]
+) -> DataFrame:
+    """hour, state, files, bytes for each hour asked for, from one listing of the day.
+
+    `state` is 'found', 'empty' (files, but not a byte in them) or 'absent' (no file, or no
+    folder of that day): what would stop a load, or load nothing, can be seen before it.
+    """
+    wanted = spark.createDataFrame([(f"{h:02d}",) for h in sorted(set(map(int, hours)))], "hour string")
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        # The file source lists path and length; `content` is never read.
+        listed = files.load(f"{landing_day(base, day)}/{LANDING_FILES[kind]}*.csv".replace("**", "*"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        sizes = spark.createDataFrame([], "hour string, files long, bytes long")
+    else:
+        hour = F.regexp_extract("path", HOUR_IN_NAME, 1).alias("hour")
+        # A scan passes over files without a byte; the list of files behind it has them.
+        every = spark.createDataFrame([(f,) for f in listed.inputFiles()], "path string")
+        counts = every.groupBy(hour).agg(F.count("*").alias("files"))
+        sizes = counts.join(listed.groupBy(hour).agg(F.sum("length").alias("bytes")), "hour", "left")
+    state = F.when(F.col("bytes") > 0, "found").when(F.col("files") > 0, "empty").otherwise("absent")
+    none = F.lit(0).cast("long")
+    return wanted.join(sizes, "hour", "left").select(
+        "hour", state.alias("state"), F.coalesce("files", none).alias("files"), F.coalesce("bytes", none).alias("bytes")
+    )
+
+
 def landing_hours(df: DataFrame) -> DataFrame:
     """Rows by the hour in the name of the file they came from (`read_entity` with_file)."""
     per_file = df.groupBy(LANDING_FILE).agg(F.count("*").alias("rows"))
-    # The last such part of the path; a folder above may have a name like it.
-    hour = F.regexp_extract(LANDING_FILE, r".*_(\d{2})\.csv", 1)
+    hour = F.regexp_extract(LANDING_FILE, HOUR_IN_NAME, 1)
     return per_file.groupBy(hour.alias("hour")).agg(F.sum("rows").alias("rows"))

@@ -23,6 +23,47 @@ def describe_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(f"DESCRIBE FORMATTED {name}")
 
 
+def table_sections(spark: SparkSession, name: str) -> DataFrame:
+    """section, name, type of what `describe_table` lists, each part under its own name.
+
+    Sections: `column`, `partition` (partition columns, which are columns too), `bucket` and
+    `sort` (with the number of buckets as type), `table` (format and kind).
+    """
+    section, rows, layout = "column", [], {}
+    for r in describe_table(spark, name).collect():  # a line per column of the table
+        if r.col_name.startswith("# Partition Information"):
+            section = "partition"
+        elif r.col_name.startswith("#") and not r.col_name.startswith("# col_name"):
+            section = "detail"
+        elif r.col_name and not r.col_name.startswith("#"):
+            if section == "detail":
+                layout.setdefault(r.col_name, r.data_type)
+            else:
+                rows.append((section, r.col_name, r.data_type))
+    for part, key in (("bucket", "Bucket Columns"), ("sort", "Sort Columns")):
+        for column in layout.get(key, "[]").strip("[]").replace("`", "").split(","):
+            if column.strip():
+                rows.append((part, column.strip(), layout["Num Buckets"]))
+    rows += [("table", key, layout[key].lower()) for key in ("Type", "Provider") if key in layout]
+    return spark.createDataFrame(rows, "section string, name string, type string")
+
+
+def read_run(spark: SparkSession, name: str, as_of, hour) -> DataFrame:
+    """The rows of one run of a table that keeps its history; only that run's folder is read."""
+    day = date.fromisoformat(str(as_of))
+    return spark.table(name).where(
+        (F.col("Extraction_Year") == day.year)
+        & (F.col("Extraction_Month") == day.month)
+        & (F.col("extraction_date") == F.lit(day))
+        & (F.col("Extraction_Hour") == int(hour))
+    )
+
+
+def product_history(spark: SparkSession, name: str, product_name: str) -> DataFrame:
+    """All rows of one product in the cleaned table; only its bucket is read, in every partition."""
+    return spark.table(name).where(F.col("product_name") == product_name)
+
+
 def read_orc_table(spark: SparkSession, path: str) -> DataFrame:
     """An ORC table by its root folder, partition columns included."""
     return spark.read.option("basePath", path).orc(path)

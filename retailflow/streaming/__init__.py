@@ -5,10 +5,11 @@ from .events import (
     shape_events,
     with_event_time,
 )
-from .io import kafka_source, read_events, replay_source, start_sink
+from .io import forget_last_commit, kafka_source, read_events, replay_source, start_sink
 
 __all__ = [
     "flatten",
+    "forget_last_commit",
     "kafka_source",
     "normalise_events",
     "parse_events",

@@ -12,6 +12,7 @@ from retailflow import sources as src
 from retailflow import streaming as st
 from retailflow.constants import COMPACTED_FILES
 from retailflow.fixtures import AS_OF, LATER_RUN
+from retailflow.sources.compaction import hadoop_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,6 +124,54 @@ def landing_prefix_counts(spark, sf_dir):
     return counts("sales_transactions").union(counts("branches")).union(counts("sales_agents"))
 
 
+@query
+def landing_inventory(spark, sf_dir):
+    """Hours 07 to 10 of a day: sales in two of them, a file without a byte, and nothing; rows of each."""
+    base = src.scratch_dir(spark)
+    _landed_hours(spark, sf_dir, base)
+    empty, fs = hadoop_path(spark, f"{base}/date({AS_OF})/sales_transactions_SS_raw_1_10.csv")
+    fs.create(empty).close()
+    states = src.landing_inventory(spark, base, "sales_transactions", AS_OF, range(7, 11))
+    sales = src.read_entity(spark, f"{base}/date({AS_OF})", "sales_transactions", with_file=True)
+    counts = src.landing_hours(sales)
+    return states.join(counts, "hour", "left").select(
+        "hour", "state", F.coalesce("rows", F.lit(0).cast("long")).alias("rows")
+    )
+
+
+@query
+def wide_run_scan(spark, sf_dir):
+    """One of two runs of the cleaned table that keeps its history."""
+    database, _ = _new_database(spark)
+    name = f"{database}.transactions_table"
+    cleaned = _cleaned(spark, sf_dir)
+    online = F.col("is_online") == "yes"
+    src.load_wide_run(cleaned.filter(online), name, AS_OF, 8)
+    src.load_wide_run(cleaned.filter(~online), name, AS_OF, 9)
+    return src.read_run(spark, name, AS_OF, 9)
+
+
+@query
+def product_history(spark, sf_dir):
+    """All sales of the first product by name, from its bucket of the cleaned table."""
+    database, _ = _new_database(spark)
+    name = f"{database}.transactions_table"
+    src.write_wide_table(_cleaned(spark, sf_dir), name)
+    first = spark.table(name).agg(F.min("product_name").alias("p")).first().p
+    return src.product_history(spark, name, first or "")
+
+
+@query
+def committed_runs_fact(spark, sf_dir):
+    """Two hours are loaded, then a load of the second begins anew and stops: the first hour counts."""
+    database, folder = _new_database(spark)
+    _landed_hours(spark, sf_dir, f"{folder}/landing")
+    for hour in (8, 9):
+        tables = plans.run_hourly(spark, f"{folder}/landing", database, AS_OF, hour)
+    src.open_run(spark, database, AS_OF, 9)
+    return src.committed(spark, tables.fact).drop("extraction_date", "Extraction_Hour")
+
+
 @query
 def orc_partition_scan(spark, sf_dir):
     database, folder = _new_database(spark)
@@ -257,6 +306,39 @@ def stream_sink_roundtrip(spark, sf_dir):
     return _plain(st.read_events(spark, f"{folder}/events"))
 
 
+@query
+def stream_restart_roundtrip(spark, sf_dir):
+    """Two runs over one checkpoint, new files in between, and the last batch of the first run repeated."""
+    folder = src.scratch_dir(spark)
+    events = fx.raw_events(spark, sf_dir)
+    halves = F.pmod(F.xxhash64("value"), F.lit(2))
+    for half in (0, 1):
+        events.where(halves == half).write.mode("append").text(f"{folder}/topic")
+        if half:
+            st.forget_last_commit(spark, f"{folder}/checkpoint")
+        source = st.replay_source(spark, f"{folder}/topic", maxFilesPerTrigger=1)
+        plans.run_event_stream(
+            source, f"{folder}/events", f"{folder}/checkpoint", available_now=True
+        ).awaitTermination()
+    return _plain(st.read_events(spark, f"{folder}/events"))
+
+
+@query
+def compact_events_incremental(spark, sf_dir):
+    """What each of two stream runs stored, compacted after each; the second reads new files only."""
+    folder = src.scratch_dir(spark)
+    events = fx.raw_events(spark, sf_dir)
+    halves = F.pmod(F.xxhash64("value"), F.lit(2))
+    for half in (0, 1):
+        events.where(halves == half).write.mode("append").text(f"{folder}/topic")
+        source = st.replay_source(spark, f"{folder}/topic")
+        plans.run_event_stream(
+            source, f"{folder}/events", f"{folder}/checkpoint", available_now=True
+        ).awaitTermination()
+        src.compact_new(spark, f"{folder}/events", f"{folder}/compacted")
+    return _plain(src.read_compacted(spark, f"{folder}/compacted"))
+
+
 @query
 def compact_events(spark, sf_dir):
     folder = src.scratch_dir(spark)
@@ -285,6 +367,15 @@ def describe_fact(spark, sf_dir):
     return columns.select("col_name", "data_type").distinct()
 
 
+@query
+def describe_sections(spark, sf_dir):
+    """Columns, partitions, buckets and sort order of the stored wide table, each by section."""
+    database, _ = _new_database(spark)
+    name = f"{database}.transactions_table"
+    src.write_wide_table(_cleaned(spark, sf_dir), name)
+    return src.table_sections(spark, name)
+
+
 # ---- profiling and de-duplication ----
 
 
@@ -343,6 +434,13 @@ def partition_sizes(spark, sf_dir):
     return sizes.agg(F.count("*").alias("partitions"), F.sum("rows").alias("rows"))
 
 
+@query
+def partition_sizes_each(spark, sf_dir):
+    """Rows of each partition, dealt by branch number, so that the place of every row is known."""
+    dealt = _cleaned(spark, sf_dir).repartitionById(32, F.col("branch_id").cast("int"))
+    return op.partition_sizes(dealt)
+
+
 @query
 def partition_profile(spark, sf_dir):
     """Rows by value over all partitions; a branch is in one of them."""

@@ -24,7 +24,7 @@ def joined_frames(spark):
 
 LAZY = sorted(
     n for n in QUERIES
-    if not re.search(r"roundtrip|scan|landing|compact|describe|incremental|stored|two_hours", n)
+    if not re.search(r"roundtrip|scan|landing|compact|describe|incremental|stored|two_hours|history|committed|partition_sizes", n)
 )
 
 
@@ -36,7 +36,6 @@ def test_no_query_pairs_all_rows_or_leaves_the_jvm(spark, conf, name):
     assert "Exchange SinglePartition" not in plan or name in {
         # One row of totals, from partial totals of every task.
         "null_profile", "row_count", "duplicate_count", "distinct_extraction_periods",
-        "partition_sizes",
     }
 
 
