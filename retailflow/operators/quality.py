@@ -1,6 +1,6 @@
 """Profiling and de-duplication."""
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -32,10 +32,27 @@ def _rows(df: DataFrame) -> DataFrame:
     return df.select(F.struct("*").alias("_row"))
 
 
-def duplicate_groups(df: DataFrame) -> DataFrame:
-    """Rows that occur more than once, with how often."""
+def row_digest(columns: list[str]) -> list[Column]:
+    """Two 64-bit hashes of a row; a null hashes unlike any value, in whichever column it stands."""
+    values = [_named(c) for c in columns]
+    nulls = [v.isNull() for v in values]
+    return [F.xxhash64(F.lit(1), *values, *nulls), F.xxhash64(F.lit(2), *reversed(values), *nulls)]
+
+
+def duplicate_groups(df: DataFrame, digest: Callable[[list[str]], list[Column]] = row_digest) -> DataFrame:
+    """Rows that occur more than once, with how often.
+
+    Digests are counted first, so the shuffle over all rows carries 24 bytes for each and not
+    its columns. Whole rows are compared where a digest was seen twice, so a collision
+    costs time and changes nothing. Where few digests repeat, Spark broadcasts them and the
+    rows behind them are found by a second scan; where many do, it joins by digest.
+    """
+    first, second = digest(df.columns)
+    rows = df.select(F.struct("*").alias("_row"), first.alias("_first"), second.alias("_second"))
+    key = ["_first", "_second"]
+    twice = rows.groupBy(*key).agg(F.count("*").alias("_seen")).filter("_seen > 1").select(*key)
     return (
-        _rows(df)
+        rows.join(twice, key, "left_semi")
         .groupBy("_row")
         .agg(F.count("*").alias("count"))
         .filter(F.col("count") > 1)

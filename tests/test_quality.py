@@ -3,6 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from retailflow import operators as op
+from retailflow.operators.quality import row_digest
 from rows import row_set
 
 
@@ -45,6 +46,26 @@ def test_duplicate_count_is_what_dedup_removes(spark):
     assert op.dedup_exact(df).count() == len(set(rows))
 
 
+def test_a_collision_of_digests_changes_nothing(spark):
+    df = frame(spark, [("x", None)] * 3 + [(None, 1)] * 2 + [("y", 1), ("z", 1)])
+    groups = ["('x', None, 3)", "(None, 1, 2)"]
+    assert row_set(op.duplicate_groups(df)) == groups
+    assert row_set(op.duplicate_groups(df, lambda columns: [F.lit(1), F.lit(2)])) == groups
+
+
+def test_a_null_hashes_by_its_column(spark):
+    df = frame(spark, [("x", None), (None, "x")], "a string, b string").select(*row_digest(["a", "b"]))
+    assert df.distinct().count() == 2
+
+
+def test_only_digests_of_all_rows_are_shuffled(spark):
+    df = spark.range(2000).selectExpr("id", "repeat(cast(id % 1900 as string), 50) as text").drop("id")
+    groups = op.duplicate_groups(df)
+    assert groups.count() == 100
+    plan = groups._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert "hashpartitioning(_first" in plan and "BroadcastHashJoin" in plan
+
+
 def test_dedup_by_key_does_not_depend_on_the_partitions(spark):
     rows = [(k, v) for k in "abcde" for v in (5, 3, 9)] + [("hot", v) for v in range(300, 0, -1)]
     expected = ["('a', 3)", "('b', 3)", "('c', 3)", "('d', 3)", "('e', 3)", "('hot', 1)"]
