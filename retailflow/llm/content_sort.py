@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailflow.llm.shared import shared_table
+from retailflow.llm.shared import numbered, one_of_each, shared_table
 
 PREFIX_BYTES = 24
 _NO_ID = np.iinfo(np.int64).min
@@ -149,6 +149,12 @@ def content_sort(
 
 
 def drop_exact_copies(docs: DataFrame, keep: str = "smallest") -> DataFrame:
-    """The documents that stay, with their columns; ids are taken to be unique here."""
-    kept = content_sort(docs, keep=keep).where("kept").select(F.col("id").alias("_kept_id"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """One row of each group of equal texts, with its columns: that with the smallest (largest) doc_id.
+
+    Rows are told apart by a number, so ids may repeat or be null; a null id counts as the smallest,
+    and of rows with one id any one stays. A null text equals an empty one. Very long texts
+    are compared whole; other columns are kept, whatever their names. No rows give no rows.
+    """
+    rows, number = numbered(docs, "content_sort_rows")
+    marks = shared_table(content_sort(rows, id_col=number, keep=keep).where("group_size > 1"), "content_sort_groups")
+    return one_of_each(rows, number, marks.select(F.col("id").alias("row"), F.col("keep_id").alias("group")), keep)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retailflow.llm.components import components
-from retailflow.llm.shared import shared_table
+from retailflow.llm.shared import numbered, one_of_each, shared_table
 from retailflow.llm.words import mixed, occurrences, row_slices, shingle_codes
 
 THRESHOLD = 0.8
@@ -355,6 +355,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The document with the smallest id of each class, with its columns; ids are unique here."""
-    gone = near_duplicates(docs, threshold).where("NOT kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """One row of each class of near copies, with its columns: that with the smallest doc_id.
+
+    Rows are told apart by a number, so ids may repeat or be null; a null id counts as the smallest,
+    and of rows with one id any one stays. Texts without words, null ones included, are
+    one class. Other columns are kept, whatever their names. No rows give no rows.
+    """
+    rows, number = numbered(docs, "omh_rows")
+    classes = near_duplicates(rows.select(F.col(number).alias("doc_id"), "text"), threshold)
+    classes = shared_table(classes.select(F.col("doc_id").alias("row"), F.col("class_id").alias("group")), "omh_classes")
+    return one_of_each(rows, number, classes)

@@ -9,6 +9,7 @@ import pytest
 from llm_helpers import DOC_SCHEMA, SF_DIR
 from pyspark.sql import functions as F
 from retailflow.llm import quality
+from retailflow.llm.content_sort import drop_exact_copies
 from retailflow.llm.mixing import mix, mixed_documents
 from retailflow.llm.order_minhash import drop_near_copies, near_duplicates, sketches
 from retailflow.llm.words import SLICE_BYTES, row_slices, shingle_codes
@@ -78,3 +79,19 @@ def test_same_trees_for_any_partitions_of_a_large_table(spark):
     )
     assert np.array_equal(one.feature, other.feature) and np.array_equal(one.cut, other.cut)
     assert np.array_equal(one.leaf, other.leaf)
+
+
+def test_stages_keep_one_row_whatever_the_ids(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, "same text here"), (1, "same text here"), (1, "other"), (None, "q"), (None, "q"), (7, "q"), (7, "q"), (None, text)]
+    near = [(5, text + " more"), (5, text + " more"), (9, None), (None, ""), (8, " ")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows + near], DOC_SCHEMA).repartition(5)
+    exact = sorted(((r.doc_id, r.text) for r in drop_exact_copies(docs).collect()), key=str)
+    assert exact == sorted(
+        [(1, "same text here"), (1, "other"), (None, "q"), (None, text), (5, text + " more"), (None, ""), (8, " ")], key=str
+    )
+    largest = [r.doc_id for r in drop_exact_copies(docs, keep="largest").where("coalesce(text, '') IN ('', 'q')").collect()]
+    assert sorted(largest) == [7, 9]
+    kept = sorted(((r.doc_id, r.text) for r in drop_near_copies(docs).collect()), key=str)
+    assert kept == sorted([(1, "same text here"), (1, "other"), (None, "q"), (None, text), (None, "")], key=str)
+    assert drop_exact_copies(docs.limit(0)).count() == drop_near_copies(docs.limit(0)).count() == 0
