@@ -10,7 +10,7 @@ The corpus is dealt to shards so that equal strings meet:
   saves work: a core that repeats proves nothing.
 * Each shard sorts the suffixes of its text (Larsson-Sadakane refinement), gets common prefixes
   by Kasai's method and finds strings with a common prefix of WIDTH with a neighbour.
-* An anchor with more stretches than a shard takes fills several shards. What is left single in
+* An anchor with more stretches or bytes than a shard takes fills several shards. What is left single in
   one of them is searched in the sorted strings of the others by binary search.
 """
 
@@ -31,6 +31,8 @@ STEP = 112  # anchor places of one core; WIDTH - GRAM + 1 is a multiple of it
 PIECE = 1 << 20  # window starts of a text that are worked on at once
 SHARD_BYTES = 1 << 20
 SHARD_STRETCHES = 1500  # of one anchor in one shard
+ANCHOR_BYTES = 2 << 20  # of one anchor in one shard
+MERGED = 4096  # strings of neighbours with one anchor that go as one stretch, about
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STARTS = WIDTH - GRAM + 1  # places of the anchor in a string
@@ -261,7 +263,11 @@ def _cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stretches of one anchor whose cores repeat, neighbours of one anchor as one stretch."""
+    """Stretches of one anchor whose cores repeat, neighbours of one anchor as one stretch.
+
+    In periodic text one anchor may go on to the end, so a stretch ends after MERGED strings and the
+    next one begins at the following string.
+    """
     for batch in batches:
         for part in row_slices(batch, 2):
             raw = _raw(part, 2)
@@ -279,6 +285,9 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             new = np.ones(len(text), bool)
             new[1:] = (text[1:] != text[:-1]) | (gram[1:] != gram[:-1]) | (start[1:] != (start + count)[:-1])
             head = np.flatnonzero(new)
+            since = start - np.repeat(start[head], np.diff(np.append(head, len(start))))
+            new[1:] |= since[1:] // MERGED != since[:-1] // MERGED
+            head = np.flatnonzero(new)
             total = np.add.reduceat(count, head) if len(head) else count
             text, start, gram = text[head], start[head], gram[head]
             bodies = [raw[t][s : s + c + WIDTH - 1] for t, s, c in zip(text.tolist(), start.tolist(), total.tolist())]
@@ -356,10 +365,9 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     sizes = shared_table(pieces.groupBy("gram").agg(F.count("*").alias("n"), F.sum(F.length("piece")).alias("bytes")), "suffix_grams")
     total = sizes.agg(F.sum("bytes")).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
-    hot = sizes.where(F.col("n") > SHARD_STRETCHES).select(
-        F.col("gram").alias("hot_gram"), F.ceil(F.col("n") / SHARD_STRETCHES).alias("ways")
-    )
-    # Few rows: an anchor is hot with SHARD_STRETCHES stretches or more. Spark decides by size.
+    ways = F.greatest(F.ceil(F.col("n") / SHARD_STRETCHES), F.ceil(F.col("bytes") / ANCHOR_BYTES))
+    hot = sizes.select(F.col("gram").alias("hot_gram"), ways.alias("ways")).where("ways > 1")
+    # Few rows: an anchor is hot with SHARD_STRETCHES stretches or ANCHOR_BYTES. Spark decides by size.
     hot = shared_table(hot, "suffix_hot")
     dealt = pieces.join(hot, F.col("gram") == F.col("hot_gram"), "left")
     way = F.pmod(F.xxhash64("doc_id", "body", "start"), F.coalesce("ways", F.lit(1)))

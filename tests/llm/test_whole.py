@@ -4,10 +4,11 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 import corpus_pipeline
 from llm_helpers import SF_DIR
-from retailflow.llm import attention_lm, chunking, order_minhash
+from retailflow.llm import attention_lm, chunking, order_minhash, suffix_dedup
 
 
 def template_family(families, seed=3):
@@ -111,3 +112,31 @@ def test_op5_cuts_do_not_depend_on_the_text_before(spark):
     size = np.full(50, 400)
     together = chunking.cut_points(np.concatenate(texts), np.cumsum(size) - size, size)
     assert together == [chunking.cut_points(t, np.array([0]), np.array([400]))[0] for t in texts]
+
+
+def test_stretches_of_periodic_text_are_bounded():
+    text = "0123456789abcdefghijklmnopqrstuvwxyz" * 3000
+    cores = np.unique(suffix_dedup.stretches([text.encode()])["core"])
+    batch = pa.record_batch({
+        "doc_id": pa.array([1]), "body": pa.array([2]), "text": [text], "cores": pa.array([cores.tolist()], pa.list_(pa.int64())),
+    })
+    (pieces,) = suffix_dedup._candidates(iter([batch]))
+    size, start = pieces.column("count").to_numpy(), pieces.column("start").to_numpy()
+    assert len(size) > 20 and size.max() <= suffix_dedup.MERGED + suffix_dedup.STEP
+    order = np.argsort(start)
+    assert size.sum() == len(text) - suffix_dedup.WIDTH + 1
+    assert (np.diff(start[order]) == size[order][:-1]).all()
+    assert all(text[a : a + n + suffix_dedup.WIDTH - 1].encode() == p for a, n, p in zip(start, size, pieces.column("piece").to_pylist()))
+
+
+def test_long_periodic_texts_go_whole_and_others_stay(spark):
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(map(chr, rng.integers(97, 123, 37)))
+    lines = [word() for _ in range(3)]
+    rows = [(i, line * 20_000) for i, line in enumerate(lines)]
+    rows += [(10, "".join(word() for _ in range(4000))), (11, lines[0] * 12), (12, lines[1] * 8), (13, "".join(word() for _ in range(9)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in suffix_dedup.suffix_dedup(docs).collect()}
+    for i in (0, 1, 2, 11):
+        assert got[i][0] == got[i][1] and got[i][2] == 1
+    assert [got[i][1] for i in (10, 12, 13)] == [0, 0, 0]
