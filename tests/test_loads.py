@@ -2,8 +2,8 @@
 
 import csv
 import os
-import uuid
 import threading
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
