@@ -9,7 +9,7 @@ from retailflow.sources.scratch import scratch_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def shared_table(df: DataFrame, name: str, partition_by: list[str] | None = None, **options) -> DataFrame:
     """Write `df` as Parquet below `spark.checkpoint.dir` and read it back.
 
     Cuts the lineage like a checkpoint, and a lost executor takes nothing with it.
@@ -17,7 +17,7 @@ def shared_table(df: DataFrame, name: str, partition_by: list[str] | None = None
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}"
-    writer = df.write.option("compression", "zstd")
+    writer = df.write.option("compression", "zstd").options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -106,6 +106,37 @@ def test_op5_finds_passages_of_51_words(spark):
     assert not any(got[i].n_removed for i in range(500))
 
 
+def test_op5_blocks_of_any_size_give_the_same(spark, monkeypatch):
+    rng = random.Random(8)
+    passages = [" ".join(f"w{rng.randrange(400)}" for _ in range(70)) for _ in range(40)]
+    rows = [(i, " ".join(rng.choices(passages, k=rng.randrange(6)))) for i in range(300)]
+    # Ids that are null or repeat, in other blocks too; one passage in every document of a stretch.
+    rows += [(None, passages[0]), (7, passages[1] + " " + passages[1]), (None, passages[0]), (9, None)]
+    rows += [(1000 + i, f"{passages[2]} only here {i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    found = []
+    for block, group in ((1 << 20, 500_000), (100, 50), (1, 7)):
+        monkeypatch.setattr(chunking, "BLOCK_CHUNKS", block)
+        monkeypatch.setattr(chunking, "GROUP_CHUNKS", group)
+        found.append(sorted(map(str, chunking.repeated_chunks(docs).collect())))
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(rows)
+
+
+def test_op5_equal_halves_of_a_digest_are_told_apart():
+    digest = lambda *pairs: np.array(pairs, np.uint64).tobytes()
+    table = pa.table({
+        "block": [10, 20, 30], "group": [0, 0, 0], "base": [0, 5, 0],
+        "digests": [digest((1, 1), (2, 2)), digest((1, 3), (2, 2)), digest((1, 1), (1, 3), (4, 4))],
+        "docs": pa.array([[8, 9], [3, None], [8, 1, 2]], pa.list_(pa.int64())),
+    })
+    got = chunking._later(table).to_pylist()
+    assert got == [
+        {"block": 10, "entries": [1], "from_docs": [None]},  # a null id is the smallest
+        {"block": 20, "entries": [5], "from_docs": [1]},
+        {"block": 30, "entries": [0], "from_docs": [8]},  # equal ids: the earlier block
+    ]
+
+
 def test_op5_cuts_do_not_depend_on_the_text_before(spark):
     rng = np.random.default_rng(6)
     texts = [rng.integers(97, 123, 400).astype(np.uint8) for _ in range(50)]
