@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from retailflow.llm.components import components
@@ -252,16 +252,41 @@ def close_pairs(at, own, n, part, keys, profile, threshold: float = THRESHOLD) -
     return i, j
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """rows with their cell of the bucket and the cells to meet there, `others`.
+
+    Parts of more than CELL / 2 documents have cells of their own, which never meet one another, so
+    a large part that shares a bucket with few others moves once for each cell of the others.
+    """
+    bucket = ["at", "key"]
+    parts = rows.groupBy(*bucket, "part").agg(F.count("*").alias("members"))
+    large = parts.where(F.col("members") > CELL // 2).withColumn("own", F.ceil(F.col("members") / CELL))
+    before = Window.partitionBy(*bucket).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    large = large.withColumn("before", F.coalesce(F.sum("own").over(before), F.lit(0))).drop("members")
+    several = F.when(F.col("members") <= CELL // 2, F.col("members"))
+    own = F.when(F.col("members") > CELL // 2, F.ceil(F.col("members") / CELL))
+    cells = parts.groupBy(*bucket).agg(
+        F.ceil(F.coalesce(F.sum(several), F.lit(0)) / CELL).alias("shared"), F.coalesce(F.sum(own), F.lit(0)).alias("owned")
+    )
+    rows = rows.join(cells, bucket).join(large, [*bucket, "part"], "left")
+    first = F.col("shared") + F.col("before")
+    spread = F.xxhash64("doc_id")
+    cell = F.when(F.col("own").isNull(), F.pmod(spread, "shared")).otherwise(first + F.pmod(spread, "own"))
+    everything = F.sequence(F.lit(0).cast("long"), F.col("shared") + F.col("owned") - 1)
+    foreign = F.filter(everything, lambda c: F.col("own").isNull() | (c < first) | (c >= first + F.col("own")))
+    return rows.withColumn("cell", cell).withColumn("others", foreign)
+
+
 def _cell_pairs(rows: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (doc_id, other_doc_id) of large buckets: all of CELL x CELL documents at a time."""
+    """Pairs (doc_id, other_doc_id) of large buckets: all of CELL x CELL documents at a time.
+
+    Cells of one large part alone are never made."""
     ids = rows.select(F.col("doc_id").alias("id")).distinct()
     texts = docs.select("doc_id", "text").dropDuplicates(["doc_id"])
     texts = texts.join(ids.hint("merge"), F.col("doc_id") == F.col("id"), "left_semi")
     known = shared_table(profile_table(texts), "omh_profiles").withColumnRenamed("doc_id", "id")
-    cells = F.ceil(F.col("size") / CELL)
-    rows = rows.withColumn("cells", cells).withColumn("cell", F.pmod(F.xxhash64("doc_id"), F.col("cells")))
-    rows = rows.join(known.hint("merge"), F.col("doc_id") == F.col("id")).select(
-        "at", "key", "doc_id", "n", "part", "keys", "profile", "cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("other")
+    rows = _dealt(rows).join(known.hint("merge"), F.col("doc_id") == F.col("id")).select(
+        "at", "key", "doc_id", "n", "part", "keys", "profile", "cell", F.explode("others").alias("other")
     )
     rows = rows.withColumn("low", F.least("cell", "other")).withColumn("high", F.greatest("cell", "other"))
 
