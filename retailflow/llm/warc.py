@@ -1,8 +1,9 @@
 """WARC archives of pages with a two-level capture index.
 
 Archives are written by Spark's text writer, one record a row; its line separator is the end
-of a WARC record, so the files are ordinary WARC. They hold ARCHIVE_RECORDS records at most and
-are read back whole, one file at a time, by the length each record states.
+of a WARC record, so the files are ordinary WARC. Records are dealt by length into files of about
+ARCHIVE_BYTES at most (a longer record has a file of its own), which are read back whole, one
+file at a time, by the length each record states.
 
 The index has two levels. Captures are sorted by their URL with the host reversed and put
 into compressed blocks; a sparse directory keeps the first key of each block. A lookup
@@ -25,7 +26,9 @@ from retailflow.llm.shared import shared_table
 from retailflow.sources.scratch import scratch_dir
 
 REVISIT_BYTES = 1000  # smaller payloads are stored again rather than revisited
-ARCHIVE_RECORDS = 1000
+ARCHIVE_BYTES = 64 << 20
+# Records up to so many bytes share files; a file holds as many as fit at that length.
+ARCHIVE_STEPS = [1 << 16, 1 << 20, 1 << 24]
 BLOCK_LINES = 1000
 END = "\r\n\r\n"
 # Fixed values of the WARC 1.0 format.
@@ -101,8 +104,15 @@ def write_archives(pages: DataFrame, path: str) -> None:
         F.when(revisit, F.lit("0")).otherwise(F.col("bytes").cast("string")), F.lit(END),
         F.when(revisit, F.lit("")).otherwise(F.col("html")),
     )
-    writer = rows.select(head.alias("value")).write.option("lineSep", END)
-    writer.option("maxRecordsPerFile", ARCHIVE_RECORDS).text(path)
+    step = F.lit(len(ARCHIVE_STEPS))
+    for i in reversed(range(len(ARCHIVE_STEPS))):
+        step = F.when(F.col("bytes") <= ARCHIVE_STEPS[i], i).otherwise(step)
+    size = F.octet_length(F.coalesce("html", F.lit(""))).cast("long")
+    present = pages.select(size.alias("bytes")).groupBy(step.alias("step")).count().collect()
+    for turn, i in enumerate(sorted(r["step"] for r in present) or [0]):
+        records = ARCHIVE_BYTES // ARCHIVE_STEPS[i] if i < len(ARCHIVE_STEPS) else 1
+        writer = rows.where(step == i).select(head.alias("value")).write.option("lineSep", END)
+        writer.option("maxRecordsPerFile", records).mode("append" if turn else "error").text(path)
 
 
 def parse_records(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
