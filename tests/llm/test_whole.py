@@ -1,14 +1,16 @@
 """The whole job: cases that a cap, a sample or a threshold would lose."""
 
+import hashlib
 import random
 from collections import Counter
+from itertools import combinations, product
 
 import numpy as np
 import pyarrow as pa
 
 import corpus_pipeline
 from llm_helpers import SF_DIR
-from retailflow.llm import attention_lm, chunking, order_minhash, suffix_dedup
+from retailflow.llm import attention_lm, chunking, order_minhash, suffix_dedup, warc
 
 
 def template_family(families, seed=3):
@@ -56,6 +58,56 @@ def test_op8_twins_in_a_large_template_family(spark):
     assert sorted(r.doc_id for r in kept) == sorted(set(want.values()))
 
 
+def test_op8_cells_of_a_large_class(spark):
+    """Two large classes, many small ones: all pairs across classes meet once, and no cell is of one class."""
+    part = {i: 0 if i < 2500 else 2500 if i < 3500 else i for i in range(4200)}
+    rows = spark.createDataFrame([(0, 77, i, p) for i, p in part.items()], "at int, key long, doc_id long, part long")
+    rows = rows.union(rows.where("doc_id >= 4198 OR doc_id < 600").withColumn("key", rows["key"] + 1))
+    for key, docs in ((77, range(4200)), (78, [*range(600), 4198, 4199])):
+        members, copies = {}, 0
+        for r in order_minhash._dealt(rows.where(rows["key"] == key)).collect():
+            for other in r.others:
+                members.setdefault((min(r.cell, other), max(r.cell, other)), {}).setdefault(r.cell, []).append(r.doc_id)
+                copies += 1
+        met = Counter()
+        for (low, high), sides in members.items():
+            if low == high:
+                assert len({part[i] for i in sides[low]}) > 1
+            else:
+                assert {part[i] for i in sides.get(low, [])} | {part[i] for i in sides.get(high, [])} != {0}
+            left = sides.get(low, [])
+            pairs = combinations(left, 2) if low == high else product(left, sides.get(high, []))
+            met.update((min(i, j), max(i, j)) for i, j in pairs if part[i] != part[j])
+        assert set(met.values()) == {1}
+        assert len(met) == sum(part[i] != part[j] for i, j in combinations(docs, 2))
+        if key == 78:  # 600 of one class in two cells and two strangers in one
+            assert copies <= 600 + 2 * 3
+
+
+def test_op8_near_copies_and_strangers_in_one_bucket(spark, monkeypatch):
+    monkeypatch.setattr(order_minhash, "CELL", 16)
+    rows = template_family(60)
+    base = rows[0][1].split()
+    rows += [(20_000 + i, " ".join([*base[:95], f"c{i}", *base[96:]])) for i in range(150)]
+    want = brute_force_classes(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in order_minhash.near_duplicates(docs).collect()} == want
+
+
+def test_op1_files_are_bounded_by_bytes(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 40_000)
+    monkeypatch.setattr(warc, "ARCHIVE_STEPS", [1_000, 10_000])
+    sizes = [i % 900 for i in range(300)] + [9_000] * 20 + [60_000, 70_000, 0]
+    rows = [(i, f"http://h.org/{i}", "abcdefghij"[i % 10] * n) for i, n in enumerate(sizes)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    index, path = warc.archive_pages(pages, str(tmp_path / "archives"))
+    got = {r.page_id: (r.bytes, r.digest) for r in warc.index_captures(index).collect()}
+    assert got == {i: (len(t), hashlib.sha1(t.encode()).hexdigest()) for i, _, t in rows}
+    files = sorted(f.stat().st_size for f in (tmp_path / "archives").glob("part-*"))
+    head = 500  # bytes of a record's headers, at most
+    assert all(size <= 40_000 + 40 * head for size in files[:-2]) and 60_000 < files[-2] < files[-1] < 70_000 + head
+
+
 def test_op2_learns_from_all_text_and_real_pairs_across_words(spark):
     rng = random.Random(4)
     texts = [" ".join(rng.choice("ab cd ef gh".split()) for _ in range(n)) for n in (3000, 700, 3, 1)] + ["", None]
