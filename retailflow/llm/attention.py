@@ -134,79 +134,85 @@ def layout(pieces: np.ndarray, sizes: np.ndarray, vocabulary: Vocabulary):
 
 
 def _attend(w, inputs, blank):
-    """Hidden vectors of all blocks but the first, which only lends its keys and values."""
-    x = w["vectors"][inputs]
-    flat = x.reshape(-1, WIDTH)
-    key, value = ((flat @ w[n]).reshape(x.shape) for n in ("key", "value"))
-    x = x[1:]
-    query = (flat[STRIDE:] @ (w["query"] * np.float32(WIDTH**-0.5))).reshape(x.shape)
-    bias = w["distance"][_AGO] + _AHEAD
-    s = np.empty((len(x), STRIDE, 2 * STRIDE), np.float32)
+    """Hidden vectors of all blocks but the first, which only lends its keys and values.
+
+    Vectors depend on the input alone, so keys, values and queries are looked up by input.
+    """
+    x = w["vectors"]
+    tables = np.concatenate((x @ w["key"], x @ w["value"], x @ (w["query"] * np.float32(WIDTH**-0.5)), x), 1)
+    rows = tables.take(inputs, 0)
+    key, value = rows[:, :, :WIDTH], rows[:, :, WIDTH : 2 * WIDTH]
+    query, x = rows[1:, :, 2 * WIDTH : 3 * WIDTH], rows[1:, :, 3 * WIDTH :]
+    s = np.empty((len(x), STRIDE, 2 * STRIDE), np.result_type(rows))
     np.matmul(query, key[:-1].transpose(0, 2, 1), out=s[:, :, :STRIDE])
     np.matmul(query, key[1:].transpose(0, 2, 1), out=s[:, :, STRIDE:])
-    s += bias
+    s += w["distance"][_AGO] + _AHEAD
     s[blank[:-1], :, :STRIDE] = -1e4
     np.minimum(s, 60, out=s)
     a = np.exp(s, out=s)
-    a *= 1 / (a.reshape(-1, 2 * STRIDE) @ np.ones(2 * STRIDE, np.float32)).reshape(len(x), STRIDE, 1)
-    mixed = a[:, :, :STRIDE] @ value[:-1] + a[:, :, STRIDE:] @ value[1:]
+    a *= 1 / (a.reshape(-1, 2 * STRIDE) @ np.ones(2 * STRIDE, a.dtype)).reshape(len(x), STRIDE, 1)
+    mixed = a[:, :, :STRIDE] @ value[:-1]
+    mixed += a[:, :, STRIDE:] @ value[1:]
     h = (x + mixed).reshape(-1, WIDTH)
-    u = h @ w["first"] + w["first_bias"]
+    u = h @ w["first"]
+    u += w["first_bias"]
     r = np.maximum(u, 0)
-    return h + r @ w["second"], (x, key, value, query, a, h, u, r)
+    return h + r @ w["second"], (key, value, query, a, mixed, h, u, r)
 
 
 def _log_likelihood(w, out, before, targets, vocabulary, grad=None):
     """Log probability of each target; with grad also fills it and returns the gradient of out."""
-    ones = np.ones(max(CLASSES + 1, MEMBERS), np.float32)
+    ones = np.ones(max(CLASSES + 1, MEMBERS), out.dtype)
     # The counts give log probabilities; only what the layers add could make a logit large.
     most = np.abs(out).max(initial=0) * WIDTH
     cap = most * max(np.abs(w["group"]).max(), np.abs(w["member"]).max()) > 50
     cap |= max(np.abs(w["group_bias"]).max(), np.abs(w["member_bias"]).max()) > 10
-    group, member = vocabulary.group[targets], vocabulary.member[targets]
-    logp = vocabulary.rare[targets].astype(out.dtype)
+    group, member = vocabulary.group.take(targets), vocabulary.member.take(targets)
+    logp = vocabulary.rare.take(targets).astype(out.dtype)
     back = None if grad is None else np.empty_like(out)
+
+    def add(z, column):
+        """The log probability of a column of each row's logits and, with grad, what it asks of them."""
+        if cap:
+            np.minimum(z, 60, out=z)
+        at = np.arange(len(z)) * z.shape[1] + column
+        own = z.ravel().take(at)
+        e = np.exp(z, out=z)
+        total = e @ ones[: z.shape[1]]
+        if grad is not None:
+            e *= (1 / total)[:, None]
+            e.ravel()[at] -= 1
+        return own - np.log(total)
+
     for a in range(0, len(out), 4096):
         part = slice(a, a + 4096)
         z = out[part] @ w["group"]
         z += w["group_bias"]
-        z += vocabulary.after_group[before[part]]
-        if cap:
-            np.minimum(z, 60, out=z)
-        rows = np.arange(len(z))
-        own = z[rows, group[part]]
-        e = np.exp(z, out=z)
-        total = e @ ones[: CLASSES + 1]
-        logp[part] += own - np.log(total)
+        z += vocabulary.after_group.take(before[part], 0)
+        logp[part] += add(z, group[part])
         if grad is not None:
-            d = e / total[:, None]
-            d[rows, group[part]] -= 1
-            grad["group"] += out[part].T @ d
-            grad["group_bias"] += d.sum(0)
-            back[part] = d @ w["group"].T
+            grad["group"] += out[part].T @ z
+            grad["group_bias"] += ones[:1].repeat(len(z)) @ z
+            back[part] = z @ w["group"].T
+    # Sorted by class, so that one product serves all tokens of a class and the rest is done at once.
     order = np.argsort(group.astype(np.int8), kind="stable")
-    bounds = np.searchsorted(group[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        at = order[bounds[c] : bounds[c + 1]]
-        if not len(at):
-            continue
-        v = out[at]
-        z = v @ w["member"][c]
-        z += w["member_bias"][c]
-        z += vocabulary.after_member[c].take(before[at], 0)
-        if cap:
-            np.minimum(z, 60, out=z)
-        pick = np.arange(len(at))
-        own = z[pick, member[at]]
-        e = np.exp(z, out=z)
-        total = e @ ones[:MEMBERS]
-        logp[at] += own - np.log(total)
-        if grad is not None:
-            d = e / total[:, None]
-            d[pick, member[at]] -= 1
-            grad["member"][c] += v.T @ d
-            grad["member_bias"][c] += d.sum(0)
-            back[at] += d @ w["member"][c].T
+    bounds = np.searchsorted(group.take(order), np.arange(CLASSES + 1))
+    order = order[: bounds[-1]]
+    used = [(c, slice(bounds[c], bounds[c + 1])) for c in range(CLASSES) if bounds[c] < bounds[c + 1]]
+    v = out.take(order, 0)
+    z = np.empty((len(order), MEMBERS), out.dtype)
+    for c, at in used:
+        np.matmul(v[at], w["member"][c], out=z[at])
+        z[at] += w["member_bias"][c]
+    tables = vocabulary.after_member
+    z += tables.reshape(-1, MEMBERS).take(group.take(order) * tables.shape[1] + before.take(order), 0)
+    logp[order] += add(z, member.take(order))
+    if grad is not None:
+        for c, at in used:
+            grad["member"][c] += v[at].T @ z[at]
+            grad["member_bias"][c] += z[at].sum(0)
+            np.matmul(z[at], w["member"][c].T, out=v[at])
+        back[order] += v
     return logp, back
 
 
@@ -266,39 +272,49 @@ def gradient(flat, inputs, targets, blank, vocabulary):
     """Mean loss and its gradient over blocks 1 onward."""
     w, flat_grad = views(flat), np.zeros_like(flat)
     g = views(flat_grad)
-    out, (x, key, value, query, a, h, u, r) = _attend(w, inputs, blank)
+    out, (key, value, query, a, mixed, h, u, r) = _attend(w, inputs, blank)
     wanted = targets[1:].ravel()
     real = np.flatnonzero(wanted >= 0)
-    logp, back = _log_likelihood(w, out[real], inputs[1:].ravel()[real], wanted[real], vocabulary, g)
+    logp, back = _log_likelihood(
+        w, out.take(real, 0), inputs[1:].ravel().take(real), wanted.take(real), vocabulary, g
+    )
     d_out = np.zeros_like(out)
     d_out[real] = back
     g["second"] += r.T @ d_out
     du = (d_out @ w["second"].T) * (u > 0)
     g["first"] += h.T @ du
     g["first_bias"] += du.sum(0)
-    dh = (d_out + du @ w["first"].T).reshape(x.shape)
-    a1, a2 = a[:, :, :STRIDE], a[:, :, STRIDE:]
-    da = np.concatenate((dh @ value[:-1].transpose(0, 2, 1), dh @ value[1:].transpose(0, 2, 1)), 2)
-    ds = a * (da - (da * a).sum(2, keepdims=True))
-    np.add.at(g["distance"], _AGO[_AHEAD == 0], ds.sum(0)[_AHEAD == 0])
+    d = np.zeros((*inputs.shape, 4 * WIDTH), flat.dtype)  # of keys, values, queries and vectors as looked up
+    dk, dv, dq, dx = (d[:, :, i * WIDTH : (i + 1) * WIDTH] for i in range(4))
+    dh = (d_out + du @ w["first"].T).reshape(mixed.shape)
+    dx[1:] = dh
+    ds = np.empty_like(a)
+    np.matmul(dh, value[:-1].transpose(0, 2, 1), out=ds[:, :, :STRIDE])
+    np.matmul(dh, value[1:].transpose(0, 2, 1), out=ds[:, :, STRIDE:])
+    ds -= (dh * mixed).sum(2, keepdims=True)
+    ds *= a
+    g["distance"] += np.bincount(_AGO[_AHEAD == 0], ds.sum(0)[_AHEAD == 0], 2 * STRIDE).astype(flat.dtype)
     s1, s2 = ds[:, :, :STRIDE], ds[:, :, STRIDE:]
-    dq = s1 @ key[:-1] + s2 @ key[1:]
-    dk, dv = np.zeros_like(key), np.zeros_like(value)
-    dk[1:] += s2.transpose(0, 2, 1) @ query
+    a1, a2 = a[:, :, :STRIDE], a[:, :, STRIDE:]
+    dq[1:] = s1 @ key[:-1]
+    dq[1:] += s2 @ key[1:]
+    dk[1:] = s2.transpose(0, 2, 1) @ query
     dk[:-1] += s1.transpose(0, 2, 1) @ query
-    dv[1:] += a2.transpose(0, 2, 1) @ dh
+    dv[1:] = a2.transpose(0, 2, 1) @ dh
     dv[:-1] += a1.transpose(0, 2, 1) @ dh
-    scale = np.float32(WIDTH**-0.5)
-    everything = w["vectors"][inputs]
-    dx = dk @ w["key"].T + dv @ w["value"].T
-    dx[1:] += dh + dq @ (w["query"] * scale).T
-    g["query"] += x.reshape(-1, WIDTH).T @ dq.reshape(-1, WIDTH) * scale
-    g["key"] += everything.reshape(-1, WIDTH).T @ dk.reshape(-1, WIDTH)
-    g["value"] += everything.reshape(-1, WIDTH).T @ dv.reshape(-1, WIDTH)
+    # Summed by input first: the weights of keys, values and queries then see each input once.
     ids = inputs.ravel()
-    order = np.argsort(ids, kind="stable")
-    starts = np.flatnonzero(np.diff(ids[order], prepend=-1))
-    g["vectors"][ids[order][starts]] += np.add.reduceat(dx.reshape(-1, WIDTH)[order], starts, 0)
+    order = np.argsort(ids.astype(np.int16), kind="stable")
+    ids = ids.take(order)
+    starts = np.flatnonzero(np.diff(ids, prepend=-1))
+    ids = ids.take(starts)
+    dk, dv, dq, dx = np.split(np.add.reduceat(d.reshape(-1, 4 * WIDTH).take(order, 0), starts, 0), 4, 1)
+    dq = dq * np.float32(WIDTH**-0.5)
+    x = w["vectors"].take(ids, 0)
+    g["key"] += x.T @ dk
+    g["value"] += x.T @ dv
+    g["query"] += x.T @ dq
+    g["vectors"][ids] = dx + dk @ w["key"].T + dv @ w["value"].T + dq @ w["query"].T
     g["vectors"][vocabulary.blank] = 0
     n = max(len(real), 1)
     flat_grad /= n

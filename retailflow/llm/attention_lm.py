@@ -32,10 +32,11 @@ END_ID = SUBWORDS - 1
 END = b""  # the end mark among words, which are never empty
 FOLDS, HELD_OUT = 5, 1
 EXCERPT_WORDS = 128  # all text is cut into excerpts of so many words, the last of a document shorter
-ROUND_RATES = (4e-3, 2e-3)
-BATCH = 8  # excerpts of one step
+ROUND_RATES = (8e-3, 3e-3)
+BATCH = 32  # excerpts of one step
 LEAST_STEPS = 100  # of a round; with few excerpts it passes over them again
-TASK_BYTES = 2 << 20  # of excerpts that one task trains on
+TASK_BYTES = 8 << 20  # of excerpts that one task trains on
+CUT_TEXTS = 512  # excerpts that a task cuts into subwords at once
 FREQUENT_WORDS = 200_000  # at most, broadcast with their counts
 CACHE_WORDS = 400_000
 CACHE_PAIRS = 1_000_000  # different pairs between words that a task gathers before it hands them on
@@ -214,6 +215,37 @@ def place():
     return F.pmod(F.xxhash64("excerpt", "number"), F.lit(2**32))
 
 
+class _PieceCache(dict):
+    """Number of each word; flat: all subwords, and by number their place and how many."""
+
+    def __init__(self, encode):
+        self.encode, self.flat, self.offset, self.size = encode, array("i"), array("l"), array("l")
+
+    def __missing__(self, word: bytes) -> int:
+        pieces = subwords(word, self.encode)
+        self.offset.append(len(self.flat))
+        self.size.append(len(pieces))
+        self.flat.extend(pieces)
+        number = self[word] = len(self)
+        return number
+
+
+def cut_excerpts(texts: list[tuple[bytes, bool]], encode) -> list[np.ndarray]:
+    """Subword ids of each excerpt, the end mark behind closed ones; excerpts without any are left out."""
+    cache, out = _PieceCache(encode), []
+    for a in range(0, len(texts), CUT_TEXTS):
+        words = [t.split() + [END] * closed for t, closed in texts[a : a + CUT_TEXTS]]
+        counts = np.array([len(t) for t in words])
+        at = np.fromiter(map(cache.__getitem__, chain.from_iterable(words)), np.int64, counts.sum())
+        flat, offset, size = (np.array(x) for x in (cache.flat, cache.offset, cache.size))
+        sizes = size[at]
+        first = np.cumsum(sizes) - sizes
+        pieces = flat[np.arange(sizes.sum()) + np.repeat(offset[at] - first, sizes)]
+        ends = np.concatenate(([0], np.cumsum(sizes)))[np.cumsum(counts)]
+        out += [x for x in np.split(pieces, ends[:-1]) if len(x)]
+    return out
+
+
 def train(excerpts: DataFrame, vocabulary: attention.Vocabulary, tokenizer: str) -> np.ndarray:
     """Weights after as many rounds as there are ROUND_RATES; each excerpt belongs to one."""
     context = excerpts.sparkSession.sparkContext
@@ -228,22 +260,15 @@ def train(excerpts: DataFrame, vocabulary: attention.Vocabulary, tokenizer: str)
         def run(batches: Iterator[pa.RecordBatch], turn=turn, rate=rate, shared=shared) -> Iterator[pa.RecordBatch]:
             encode = encoder(tokenizer).encode_ordinary
             start, vocabulary = shared.value
-            cache: dict[bytes, list[int]] = {END: [END_ID]}
             texts = sorted((e, c) for b in batches for e, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+            cut = cut_excerpts(texts, encode)
             rng = np.random.default_rng(turn)
-            order = np.concatenate([rng.permutation(len(texts)) for _ in range(passes)]) if texts else []
+            order = np.concatenate([rng.permutation(len(cut)) for _ in range(passes)]) if cut else []
 
             def steps():
                 for a in range(0, len(order), BATCH):
-                    rows = []
-                    for i in order[a : a + BATCH]:
-                        words = texts[i][0].split() + [END] * texts[i][1]
-                        for w in words:
-                            if w not in cache:
-                                cache[w] = subwords(w, encode)
-                        rows.append([p for w in words for p in cache[w]])
-                    rows = [r for r in rows if r]
-                    yield np.array([p for r in rows for p in r], np.int64), np.array([len(r) for r in rows], np.int64)
+                    rows = [cut[i] for i in order[a : a + BATCH]]
+                    yield np.concatenate(rows), np.array([len(r) for r in rows], np.int64)
 
             after, tokens, _ = attention.train(start, steps(), vocabulary, rate)
             change = (after - start).astype(float) * tokens

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from retailflow.llm import attention, chunking, mixing, order_minhash, packing, permutation_index, quality, suffix_dedup, warc, words
+from retailflow.llm import attention, attention_lm, chunking, mixing, order_minhash, packing, permutation_index, quality, suffix_dedup, warc, words
 
 
 def test_suffix_array_and_prefixes():
@@ -257,3 +257,11 @@ def test_water_filling(spark):
     got = {r.source: (r.weight, r.target) for r in mixing.water_fill(sizes).collect()}
     # 1,725 wanted: a, c and the null source stop at twice their size, b takes the rest.
     assert got == {"a": (5, 200.0), "b": (2, 1425.0), "c": (1, 0.0), None: (5, 100.0)}
+
+
+def test_excerpts_are_cut_into_the_subwords_of_their_words():
+    encode = attention_lm.encoder(attention_lm.TOKENIZER).encode_ordinary
+    texts = [(b"", True), (b"a b a", False), (b"", False), ("größer 中文 unforeseeable".encode(), True)] * 300
+    want = [[p for w in t.split() + [b""] * c for p in attention_lm.subwords(w, encode)] for t, c in texts]
+    assert [x.tolist() for x in attention_lm.cut_excerpts(texts, encode)] == [w for w in want if w]
+    assert attention_lm.cut_excerpts([], encode) == []
