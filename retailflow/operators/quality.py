@@ -68,13 +68,44 @@ def duplicate_count(df: DataFrame) -> DataFrame:
     )
 
 
-def dedup_exact(df: DataFrame) -> DataFrame:
+# 64-bit words of the bits that `_repeats` keeps: 2 MB, whatever the table holds.
+REPEAT_WORDS = 1 << 18
+
+
+def _repeats(rows: DataFrame) -> Column:
+    """True for every row whose `_digest` occurs more than once, and for some others.
+
+    Digests are counted, 16 bytes for each, and those seen twice set one of a fixed
+    number of bits. Where many repeat, more bits are set by others than a row's own.
+    """
+    twice = rows.groupBy("_digest").agg(F.count("*").alias("_seen")).filter("_seen > 1")
+    slot = F.pmod("_digest", F.lit(64 * REPEAT_WORDS))
+    word, bit = F.shiftright(slot, 6), slot.bitwiseAND(F.lit(63)).cast("int")
+    marks = twice.select(word, F.call_function("shiftleft", F.lit(1).cast("long"), bit))
+    # Words without a mark are listed too, so that a word stands at its own number.
+    every = rows.sparkSession.range(REPEAT_WORDS).select(F.col("id").alias("_word"), F.lit(0).cast("long").alias("_mark"))
+    words = every.union(marks).groupBy("_word").agg(F.bit_or("_mark").alias("_bits"))
+    listed = words.groupBy(F.shiftright("_word", 32)).agg(F.sort_array(F.collect_list(F.struct("_word", "_bits"))).alias("_words"))
+    return F.getbit(F.get(listed.select("_words._bits").scalar(), word.cast("int")), bit) == 1
+
+
+def dedup_exact(df: DataFrame, digest: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
     """One of each group of exact copies.
 
-    Copies are combined before the shuffle, so a group of any size costs one
-    row per map task.
+    A row whose digest no other row has is passed on as it is, without a shuffle. The others
+    are compared whole, so a shared digest costs time and changes nothing; their
+    copies are combined before the shuffle, so a group of any size costs one row per map
+    task. The rows are read three times and have to be the same each time.
     """
-    return _rows(df).distinct().select("_row.*")
+    if df.isStreaming:
+        return _rows(df).distinct().select("_row.*")
+    # Tied to the task, though by nothing, the digest is computed once for a row; otherwise
+    # Spark copies its expression into every filter on it, which took three times as long.
+    task = F.spark_partition_id().bitwiseAND(F.lit(0)).cast("long")
+    rows = _rows(df).select("_row", digest(F.col("_row")).bitwiseXOR(task).alias("_digest"))
+    repeats = _repeats(rows)
+    once, copies = rows.filter(~repeats), rows.filter(repeats)
+    return once.select("_row").union(copies.select("_row").distinct()).select("_row.*")
 
 
 def dedup_by_key(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:

@@ -66,6 +66,29 @@ def test_only_digests_of_all_rows_are_shuffled(spark):
     assert "hashpartitioning(_first" in plan and "BroadcastHashJoin" in plan
 
 
+def test_rows_without_copies_stay_where_they_are(spark):
+    rows = spark.range(0, 700, 1, 7).selectExpr("id", "repeat(cast(id as string), 50) as text")
+    kept = op.dedup_exact(rows.union(rows.where("id % 100 = 3")))
+    at = kept.select("id", F.spark_partition_id().alias("at")).where("id % 100 <> 3 and at <> id div 100")
+    assert kept.count() == 700
+    assert at.count() == 0
+
+
+def test_a_shared_digest_drops_no_row(spark):
+    df = frame(spark, [("x", None)] * 3 + [(None, 1)] * 2 + [("y", 1), ("z", 1), (None, None)])
+    rows = ["('x', None)", "('y', 1)", "('z', 1)", "(None, 1)", "(None, None)"]
+    for number in (-1, 0, 7, 1 << 40):
+        assert row_set(op.dedup_exact(df, lambda row: F.lit(number).cast("long"))) == rows
+    assert row_set(op.dedup_exact(df, lambda row: F.shiftleft(F.xxhash64(row), 6))) == rows
+
+
+def test_copies_are_found_whatever_their_digest(spark):
+    """Digests that take every bit of a word, and words of several bitmaps."""
+    df = spark.range(300).selectExpr("id * 999 + id % 64 as id").union(spark.range(300).selectExpr("id * 999 + id % 64 as id"))
+    assert row_set(op.dedup_exact(df, lambda row: F.col("_row.id"))) == row_set(df.distinct())
+    assert row_set(op.dedup_exact(df, lambda row: -F.col("_row.id") * 65537)) == row_set(df.distinct())
+
+
 def test_dedup_by_key_does_not_depend_on_the_partitions(spark):
     rows = [(k, v) for k in "abcde" for v in (5, 3, 9)] + [("hot", v) for v in range(300, 0, -1)]
     expected = ["('a', 3)", "('b', 3)", "('c', 3)", "('d', 3)", "('e', 3)", "('hot', 1)"]
