@@ -12,6 +12,7 @@ from .cleaning import (
 from .quality import (
     dedup_by_key,
     dedup_exact,
+    dedup_spread,
     distinct_count,
     duplicate_count,
     duplicate_groups,
@@ -56,6 +57,7 @@ __all__ = [
     "date_dim",
     "dedup_by_key",
     "dedup_exact",
+    "dedup_spread",
     "derive_sales",
     "distinct_count",
     "duplicate_count",

@@ -4,6 +4,7 @@ Every step is row-wise except the removal of exact copies in `clean_sales`,
 which is the only shuffle here.
 """
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -88,10 +89,12 @@ def derive_sales(df: DataFrame, as_of: date | str) -> DataFrame:
     )
 
 
-def clean_sales(df: DataFrame, as_of: date | str) -> DataFrame:
+def clean_sales(
+    df: DataFrame, as_of: date | str, dedup: Callable[[DataFrame], DataFrame] = dedup_exact
+) -> DataFrame:
     """Defaults, one of each group of exact copies, then the derived columns."""
     return (
         df.transform(fill_defaults)
-        .transform(dedup_exact)
+        .transform(dedup)
         .transform(derive_sales, as_of)
     )

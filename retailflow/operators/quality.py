@@ -98,7 +98,7 @@ def dedup_exact(df: DataFrame, digest: Callable[[Column], Column] = F.xxhash64)
     task. The rows are read three times and have to be the same each time.
     """
     if df.isStreaming:
-        return _rows(df).distinct().select("_row.*")
+        return dedup_spread(df)
     # Tied to the task, though by nothing, the digest is computed once for a row; otherwise
     # Spark copies its expression into every filter on it, which took three times as long.
     task = F.spark_partition_id().bitwiseAND(F.lit(0)).cast("long")
@@ -108,6 +108,16 @@ def dedup_exact(df: DataFrame, digest: Callable[[Column], Column] = F.xxhash64)
     return once.select("_row").union(copies.select("_row").distinct()).select("_row.*")
 
 
+def dedup_spread(df: DataFrame) -> DataFrame:
+    """One of each group of exact copies, from one reading and one shuffle of the rows.
+
+    For what is written anyway, where `dedup_exact` would read three times and leave a shuffle
+    to the writer. Rows are spread by all their values, so the tasks behind it are even
+    whatever a column holds; copies are combined in each map task first.
+    """
+    return _rows(df).distinct().select("_row.*")
+
+
 def dedup_by_key(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """One row per key: the first by `order`, then by all other columns.
 

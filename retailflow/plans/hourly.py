@@ -68,16 +68,16 @@ def run_hourly(
     tables = HourlyTables(database)
     src.ensure_database(spark, database)
     raw = src.read_landing(spark, base, "sales_transactions", as_of, hour)
-    cleaned = op.clean_sales(raw, as_of)
+    cleaned = op.clean_sales(raw, as_of, op.dedup_spread)
     if keep_history:
         src.open_run(spark, database, as_of, hour)
-        src.load_wide_run(cleaned, tables.wide, as_of, hour, buckets)
+        src.load_wide_run(cleaned, tables.wide, as_of, hour, buckets, gather=False)
         this_run = (F.col("extraction_date") == F.lit(as_of).cast("date")) & (
             F.col("Extraction_Hour") == int(hour)
         )
         wide = spark.table(tables.wide).where(this_run)
     else:
-        src.write_wide_table(cleaned, tables.wide, buckets)
+        src.write_wide_table(cleaned, tables.wide, buckets, gather=False)
         wide = spark.table(tables.wide)
 
     src.load_dim(op.customer_dim(wide), tables.customer, ["customer_id"])
