@@ -7,6 +7,8 @@ a check start from the same rows. Only the date patterns differ.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retailflow.sources.compaction import hadoop_path
+
 AS_OF = "2000-06-30"
 LATER_RUN = "2001-01-15"
 
@@ -138,6 +140,26 @@ def duckdb_sql(sql: str) -> str:
     return in_dialect(sql, DUCKDB_DIALECT).format(**{t: t for t in TABLES}).strip()
 
 
+# Of the tables' files, for each partition that a shuffle is begun with; some 200,000 lines.
+SHUFFLE_PIECE = 4 << 20
+# Of files, for each task of a scan.
+SCAN_PIECE = 32 << 20
+
+
+def size_tasks(spark: SparkSession, sf_dir: str) -> None:
+    """Begin shuffles with a number of partitions that grows with the tables, and bound what a scan gives a task.
+
+    Adaptive execution joins small partitions to a fair size and can't cut large ones, so
+    with a fixed number the memory of a task grows with the input. A task reads less than
+    Spark's 128 MB, since packed files hold several times their size.
+    """
+    files = [hadoop_path(spark, f"{sf_dir}/{t}.parquet") for t in TABLES]
+    size = sum(fs.getContentSummary(path).getLength() for path, fs in files if fs.exists(path))
+    pieces = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHUFFLE_PIECE))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", pieces)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", SCAN_PIECE)
+
+
 def _from_tables(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     used = [t for t in TABLES if f"{{{t}}}" in sql]
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used}
