@@ -48,7 +48,11 @@ def committed_runs(spark: SparkSession, database: str) -> DataFrame | None:
         return None
     names = [f.getPath().getName() for f in fs.listStatus(folder)]  # one per hour
     runs = [(date.fromisoformat(n[:10]), int(n[11:])) for n in names if not n.startswith((".", "_"))]
-    return spark.createDataFrame(runs, "extraction_date date, Extraction_Hour int")
+    # As SQL values, whose size Spark knows: it broadcasts them instead of shuffling a table by run,
+    # which would bring all rows of an hour into one task.
+    values = ", ".join(f"(DATE '{day}', {hour})" for day, hour in runs) or "(DATE '1970-01-01', 0)"
+    rows = spark.sql(f"SELECT * FROM VALUES {values} AS runs(extraction_date, Extraction_Hour)")
+    return rows if runs else rows.limit(0)
 
 
 def committed(spark: SparkSession, name: str) -> DataFrame:
