@@ -144,6 +144,8 @@ def duckdb_sql(sql: str) -> str:
 SHUFFLE_PIECE = 4 << 20
 # Of files, for each task of a scan.
 SCAN_PIECE = 32 << 20
+# Of shuffled bytes, for each task that reads them.
+TASK_PIECE = 32 << 20
 
 
 def size_tasks(spark: SparkSession, sf_dir: str) -> None:
@@ -151,13 +153,15 @@ def size_tasks(spark: SparkSession, sf_dir: str) -> None:
 
     Adaptive execution joins small partitions to a fair size and can't cut large ones, so
     with a fixed number the memory of a task grows with the input. A task reads less than
-    Spark's 128 MB, since packed files hold several times their size.
+    Spark's 128 MB of files and 64 MB of shuffled bytes: both are packed, a task sorts several times
+    their size, and a shuffle into more than 200 partitions holds what it writes as well.
     """
     files = [hadoop_path(spark, f"{sf_dir}/{t}.parquet") for t in TABLES]
     size = sum(fs.getContentSummary(path).getLength() for path, fs in files if fs.exists(path))
     pieces = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHUFFLE_PIECE))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", pieces)
     spark.conf.set("spark.sql.files.maxPartitionBytes", SCAN_PIECE)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", TASK_PIECE)
 
 
 def _from_tables(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
