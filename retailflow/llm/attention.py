@@ -19,7 +19,9 @@ WIDTH = 16  # of the vectors
 CLASSES, MEMBERS = 32, 32  # frequent tokens: CLASSES x MEMBERS
 RARE_INPUTS = 64  # rare tokens share this many input vectors
 BLOCKS = 1024  # whose tokens are scored at once
-ATTEND = 128  # blocks that attend at once, so that what they need stays in the cache
+# So few stay in the cache, and their products below a million multiplications, which BLAS does without packing.
+ATTEND = 48  # blocks that attend at once
+ROWS = 768  # tokens whose logits are worked on at once
 
 
 PULL = 5.0  # tokens that the overall counts weigh against those after one token
@@ -34,8 +36,7 @@ class Vocabulary:
     group: np.ndarray = field(init=False)  # CLASSES for rare tokens
     member: np.ndarray = field(init=False)
     rare: np.ndarray = field(init=False)  # log probability among rare tokens
-    after_group: np.ndarray = field(init=False)  # log probabilities by the input before
-    after_member: np.ndarray = field(init=False)
+    after: np.ndarray = field(init=False)  # log probabilities of class and member, by class and the input before
 
     def __post_init__(self):
         n, head = len(self.counts), CLASSES * MEMBERS
@@ -70,18 +71,20 @@ class Vocabulary:
         table = np.vstack((table, overall[None, :]))  # a blank is never read before a token
         members = table[:, :head].reshape(-1, CLASSES, MEMBERS)
         groups = np.concatenate((members.sum(2), table[:, head:]), 1)
-        self.after_group = np.log(groups / groups.sum(1, keepdims=True)).astype(np.float32)
-        members = np.log(members / members.sum(2, keepdims=True)).astype(np.float32)
-        self.after_member = np.ascontiguousarray(members.transpose(1, 0, 2))  # one table per class
+        # Rare tokens have no member: theirs count as nothing.
+        self.after = np.zeros((CLASSES + 1, len(table), CLASSES + 1 + MEMBERS), np.float32)
+        self.after[:, :, : CLASSES + 1] = np.log(groups / groups.sum(1, keepdims=True))
+        self.after[:CLASSES, :, CLASSES + 1 :] = np.log(members / members.sum(2, keepdims=True)).transpose(1, 0, 2)
 
 
+# A bias is the last row of its weights; vectors of texts carry a one behind them for it.
 SHAPES = {
     "vectors": (CLASSES * MEMBERS + RARE_INPUTS + 2, WIDTH),
     "query": (WIDTH, WIDTH), "key": (WIDTH, WIDTH), "value": (WIDTH, WIDTH),
     "distance": (2 * STRIDE,),
-    "first": (WIDTH, 2 * WIDTH), "first_bias": (2 * WIDTH,), "second": (2 * WIDTH, WIDTH),
-    "group": (WIDTH, CLASSES + 1), "group_bias": (CLASSES + 1,),
-    "member": (CLASSES, WIDTH, MEMBERS), "member_bias": (CLASSES, MEMBERS),
+    "first": (WIDTH + 1, 2 * WIDTH), "second": (2 * WIDTH, WIDTH),
+    "group": (WIDTH + 1, CLASSES + 1),
+    "member": (CLASSES, WIDTH + 1, MEMBERS),
 }
 SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
 
@@ -101,7 +104,8 @@ def initial(vocabulary: Vocabulary, seed: int = 3) -> np.ndarray:
     flat = np.zeros(SIZE, np.float32)
     w = views(flat)
     for name in ("vectors", "query", "key", "value", "first", "second"):
-        w[name][:] = rng.normal(0, 0.3 if name == "vectors" else w[name].shape[-2] ** -0.5 * 0.7, w[name].shape)
+        drawn = w[name][:WIDTH] if name == "first" else w[name]
+        drawn[:] = rng.normal(0, 0.3 if name == "vectors" else drawn.shape[-2] ** -0.5 * 0.7, drawn.shape)
     w["vectors"][vocabulary.blank] = 0
     w["distance"][:] = -0.2 * np.arange(2 * STRIDE)
     return flat
@@ -133,137 +137,134 @@ def layout(pieces: np.ndarray, sizes: np.ndarray, vocabulary: Vocabulary):
     return inputs.reshape(-1, STRIDE), targets.reshape(-1, STRIDE), blank, place
 
 
-def _attend(w, inputs, blank):
-    """Hidden vectors of all blocks but the first, which only lends its keys and values.
+_SCALE = np.float32(WIDTH**-0.5)
 
-    Vectors depend on the input alone, so keys, values and queries are looked up by input.
+
+def _tables(w):
+    """Vectors depend on the input alone, so they, keys, values and queries are looked up by input.
+
+    Behind a vector stands a zero, behind a value a one.
     """
     x = w["vectors"]
-    tables = np.concatenate((x @ w["key"], x @ w["value"], x @ (w["query"] * np.float32(WIDTH**-0.5)), x), 1)
-    rows = tables.take(inputs, 0)
-    key, value = rows[:, :, :WIDTH], rows[:, :, WIDTH : 2 * WIDTH]
-    query, x = rows[1:, :, 2 * WIDTH : 3 * WIDTH], rows[1:, :, 3 * WIDTH :]
-    s = np.empty((len(x), STRIDE, 2 * STRIDE), np.result_type(rows))
-    np.matmul(query, key[:-1].transpose(0, 2, 1), out=s[:, :, :STRIDE])
-    np.matmul(query, key[1:].transpose(0, 2, 1), out=s[:, :, STRIDE:])
-    s += w["distance"][_AGO] + _AHEAD
+    none = np.zeros((len(x), 1), x.dtype)
+    return np.concatenate((x, none), 1), x @ (w["query"] * _SCALE), x @ w["key"], np.concatenate((x @ w["value"], none + 1), 1)
+
+
+def _windows(blocks):
+    """Each block with the one before it, without a copy."""
+    return np.lib.stride_tricks.as_strided(blocks, (len(blocks) - 1, 2 * STRIDE, blocks.shape[2]), blocks.strides)
+
+
+def _attend(w, tables, bias, inputs, blank, out):
+    """Fills out with the hidden vectors, each with a one behind it, of all blocks but the first, which
+    only lends its keys and values; returns what the gradient needs of the way there."""
+    x, query, key, value = (t.take(inputs[i:], 0) for t, i in zip(tables, (1, 1, 0, 0)))
+    s = query @ _windows(key).transpose(0, 2, 1)
+    s += bias
     s[blank[:-1], :, :STRIDE] = -1e4
-    np.minimum(s, 60, out=s)
-    a = np.exp(s, out=s)
-    a *= 1 / (a.reshape(-1, 2 * STRIDE) @ np.ones(2 * STRIDE, a.dtype)).reshape(len(x), STRIDE, 1)
-    mixed = a[:, :, :STRIDE] @ value[:-1]
-    mixed += a[:, :, STRIDE:] @ value[1:]
-    h = (x + mixed).reshape(-1, WIDTH)
-    u = h @ w["first"]
-    u += w["first_bias"]
-    r = np.maximum(u, 0)
-    return h + r @ w["second"], (key, value, query, a, mixed, h, u, r)
-
-
-def _log_likelihood(w, out, before, targets, vocabulary, grad=None):
-    """Log probability of each target; with grad also fills it and returns the gradient of out."""
-    ones = np.ones(max(CLASSES + 1, MEMBERS), out.dtype)
-    # The counts give log probabilities; only what the layers add could make a logit large.
-    most = np.abs(out).max(initial=0) * WIDTH
-    cap = most * max(np.abs(w["group"]).max(), np.abs(w["member"]).max()) > 50
-    cap |= max(np.abs(w["group_bias"]).max(), np.abs(w["member_bias"]).max()) > 10
-    group, member = vocabulary.group.take(targets), vocabulary.member.take(targets)
-    logp = vocabulary.rare.take(targets).astype(out.dtype)
-    back = None if grad is None else np.empty_like(out)
-
-    def add(z, column):
-        """The log probability of a column of each row's logits and, with grad, what it asks of them."""
-        if cap:
+    if s.max(initial=0) > 60:
+        np.minimum(s, 60, out=s)
+    e = np.exp(s, out=s)
+    mixed = e @ _windows(value)  # the ones behind the values add up to the total
+    share = 1 / mixed[:, :, WIDTH:]
+    mixed *= share
+    x += mixed
+    h = x.reshape(-1, WIDTH + 1)
+    r = h @ w["first"]
+    np.maximum(r, 0, out=r)
+    np.matmul(r, np.concatenate((w["second"], np.zeros_like(w["second"][:, :1])), 1), out=out)
+    out += h
+    return query, key, value, e, mixed, share, h, r
+
+
+def _log_likelihood(w, out, real, before, targets, vocabulary, grad=None):
+    """Log probability of each target, whose vectors are rows `real` of out; with grad also fills it and
+    returns the gradient of out.
+
+    Tokens are sorted by class, so that one product serves all tokens of a class, for the class and the
+    member at once; the rest is done for ROWS tokens at once, which stay in the cache.
+    """
+    group = vocabulary.group.take(targets)
+    order = np.argsort(group.astype(np.int8), kind="stable")
+    group, before, targets, real = group.take(order), before.take(order), targets.take(order), real.take(order)
+    bounds = np.searchsorted(group, np.arange(CLASSES + 2)).tolist()
+    side = CLASSES + 1
+    weights = np.empty((side, WIDTH + 1, side + MEMBERS), out.dtype)
+    weights[:, :, :side] = w["group"]
+    weights[:CLASSES, :, side:] = w["member"]
+    weights[CLASSES, :, side:] = 0
+    turned = np.ascontiguousarray(weights.transpose(0, 2, 1))
+    after, parts = vocabulary.after, _PARTS.astype(out.dtype)
+    places = group * np.int64(after.shape[1]) + before
+    after = after.reshape(-1, after.shape[2])
+    member = side + vocabulary.member.take(targets)
+    found = vocabulary.rare.take(targets).astype(out.dtype)
+    back = None if grad is None else np.zeros_like(out)
+    both = None if grad is None else np.zeros_like(weights)
+    width = side + MEMBERS
+    for first in range(0, len(order), ROWS):
+        last = min(first + ROWS, len(order))
+        edges = [min(max(b, first), last) - first for b in bounds]
+        common = edges[CLASSES]
+        used = [(c, slice(edges[c], edges[c + 1])) for c in range(side) if edges[c] < edges[c + 1]]
+        v = out.take(real[first:last], 0)
+        z = np.empty((last - first, width), out.dtype)
+        for c, at in used:
+            np.matmul(v[at], weights[c], out=z[at])
+        # The counts give log probabilities; only what the layers add could make a logit large.
+        z += after.take(places[first:last], 0)
+        if z.max() > 60:
             np.minimum(z, 60, out=z)
-        at = np.arange(len(z)) * z.shape[1] + column
-        own = z.ravel().take(at)
-        e = np.exp(z, out=z)
-        total = e @ ones[: z.shape[1]]
+        flat, start = z.reshape(-1), np.arange(last - first) * width
+        at_group, at_member = start + group[first:last], (start + member[first:last])[:common]
+        found[first:last] += flat.take(at_group)
+        found[first : first + common] += flat.take(at_member)
+        np.exp(z, out=z)
+        total = z @ parts
+        logs = np.log(total)
+        found[first:last] -= logs[:, 0]
+        found[first : first + common] -= logs[:common, 1]
         if grad is not None:
-            e *= (1 / total)[:, None]
-            e.ravel()[at] -= 1
-        return own - np.log(total)
-
-    for a in range(0, len(out), 4096):
-        part = slice(a, a + 4096)
-        z = out[part] @ w["group"]
-        z += w["group_bias"]
-        z += vocabulary.after_group.take(before[part], 0)
-        logp[part] += add(z, group[part])
-        if grad is not None:
-            grad["group"] += out[part].T @ z
-            grad["group_bias"] += ones[:1].repeat(len(z)) @ z
-            back[part] = z @ w["group"].T
-    # Sorted by class, so that one product serves all tokens of a class and the rest is done at once.
-    order = np.argsort(group.astype(np.int8), kind="stable")
-    bounds = np.searchsorted(group.take(order), np.arange(CLASSES + 1))
-    order = order[: bounds[-1]]
-    used = [(c, slice(bounds[c], bounds[c + 1])) for c in range(CLASSES) if bounds[c] < bounds[c + 1]]
-    v = out.take(order, 0)
-    z = np.empty((len(order), MEMBERS), out.dtype)
-    for c, at in used:
-        np.matmul(v[at], w["member"][c], out=z[at])
-        z[at] += w["member_bias"][c]
-    tables = vocabulary.after_member
-    z += tables.reshape(-1, MEMBERS).take(group.take(order) * tables.shape[1] + before.take(order), 0)
-    logp[order] += add(z, member.take(order))
+            total = 1 / total
+            total[common:, 1] = 0
+            z *= total @ parts.T
+            flat[at_group] -= 1
+            flat[at_member] -= 1
+            asked = np.empty_like(v)
+            for c, at in used:
+                both[c] += v[at].T @ z[at]
+                np.matmul(z[at], turned[c], out=asked[at])
+            back[real[first:last]] = asked
+    logp = np.empty_like(found)
+    logp[order] = found
     if grad is not None:
-        for c, at in used:
-            grad["member"][c] += v[at].T @ z[at]
-            grad["member_bias"][c] += z[at].sum(0)
-            np.matmul(z[at], w["member"][c].T, out=v[at])
-        back[order] += v
+        grad["group"] += both[:, :, :side].sum(0)
+        grad["member"] += both[:CLASSES, :, side:]
     return logp, back
 
 
-def score(flat: np.ndarray, pieces: np.ndarray, sizes: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
-    """Natural log probability of each token.
+_PARTS = np.zeros((CLASSES + 1 + MEMBERS, 2), np.float32)
+_PARTS[: CLASSES + 1, 0] = 1
+_PARTS[CLASSES + 1 :, 1] = 1
 
-    The same function as `gradient` differentiates, arranged for speed: vectors depend on the
-    input alone, so keys, values and queries are looked up, not multiplied out anew.
-    """
+
+def score(flat: np.ndarray, pieces: np.ndarray, sizes: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+    """Natural log probability of each token."""
     if not len(pieces):
         return np.zeros(0)
     w = views(flat)
     inputs, targets, blank, place = layout(pieces, sizes, vocabulary)
-    x = w["vectors"]
-    query = x @ (w["query"] * np.float32(WIDTH**-0.5))
-    tables = np.concatenate((x @ w["key"], x @ w["value"], query, x), 1)
-    bias = w["distance"][_AGO] + _AHEAD
-    # With weights this small no exponential can overflow, and capping it is left out.
-    longest = [float(np.abs(t).max()) * WIDTH for t in (query, tables[:, :WIDTH])]
-    cap = longest[0] * longest[1] / WIDTH + float(w["distance"].max()) > 60
+    tables, bias = _tables(w), w["distance"][_AGO] + _AHEAD
     logp = np.zeros(targets.size, np.float32)
-    ones = np.ones(2 * STRIDE, np.float32)
-    hidden = np.empty((BLOCKS * STRIDE, WIDTH), np.float32)
+    hidden = np.empty((BLOCKS * STRIDE, WIDTH + 1), np.float32)
     for first in range(1, len(inputs), BLOCKS):
         last = min(first + BLOCKS, len(inputs))
         for a in range(first, last, ATTEND):
             b = min(a + ATTEND, last)
-            rows = tables.take(inputs[a - 1 : b], 0)
-            key, value = rows[:, :, :WIDTH], rows[:, :, WIDTH : 2 * WIDTH]
-            query, x = rows[1:, :, 2 * WIDTH : 3 * WIDTH], rows[1:, :, 3 * WIDTH :]
-            s = np.empty((b - a, STRIDE, 2 * STRIDE), np.float32)
-            np.matmul(query, key[:-1].transpose(0, 2, 1), out=s[:, :, :STRIDE])
-            np.matmul(query, key[1:].transpose(0, 2, 1), out=s[:, :, STRIDE:])
-            s += bias
-            s[blank[a - 1 : b - 1], :, :STRIDE] = -1e4
-            if cap:
-                np.minimum(s, 60, out=s)
-            np.exp(s, out=s)
-            mixed = s[:, :, :STRIDE] @ value[:-1]
-            mixed += s[:, :, STRIDE:] @ value[1:]
-            mixed /= (s.reshape(-1, 2 * STRIDE) @ ones).reshape(b - a, STRIDE, 1)
-            mixed += x
-            h = mixed.reshape(-1, WIDTH)
-            u = h @ w["first"]
-            u += w["first_bias"]
-            np.maximum(u, 0, out=u)
-            h += u @ w["second"]
-            hidden[(a - first) * STRIDE : (b - first) * STRIDE] = h
+            _attend(w, tables, bias, inputs[a - 1 : b], blank[a - 1 : b], hidden[(a - first) * STRIDE : (b - first) * STRIDE])
         wanted = targets[first:last].ravel()
         real = np.flatnonzero(wanted >= 0)
-        found, _ = _log_likelihood(w, hidden[real], inputs[first:last].ravel()[real], wanted[real], vocabulary)
+        found, _ = _log_likelihood(w, hidden, real, inputs[first:last].ravel().take(real), wanted.take(real), vocabulary)
         logp[first * STRIDE + real] = found
     return logp[place].astype(float)
 
@@ -272,49 +273,53 @@ def gradient(flat, inputs, targets, blank, vocabulary):
     """Mean loss and its gradient over blocks 1 onward."""
     w, flat_grad = views(flat), np.zeros_like(flat)
     g = views(flat_grad)
-    out, (key, value, query, a, mixed, h, u, r) = _attend(w, inputs, blank)
+    tables, bias = _tables(w), w["distance"][_AGO] + _AHEAD
+    out = np.empty(((len(inputs) - 1) * STRIDE, WIDTH + 1), flat.dtype)
+    parts = [(a, min(a + ATTEND, len(inputs))) for a in range(1, len(inputs), ATTEND)]
+    ways = [_attend(w, tables, bias, inputs[a - 1 : b], blank[a - 1 : b], out[(a - 1) * STRIDE : (b - 1) * STRIDE]) for a, b in parts]
     wanted = targets[1:].ravel()
     real = np.flatnonzero(wanted >= 0)
-    logp, back = _log_likelihood(
-        w, out.take(real, 0), inputs[1:].ravel().take(real), wanted.take(real), vocabulary, g
-    )
-    d_out = np.zeros_like(out)
-    d_out[real] = back
-    g["second"] += r.T @ d_out
-    du = (d_out @ w["second"].T) * (u > 0)
-    g["first"] += h.T @ du
-    g["first_bias"] += du.sum(0)
-    d = np.zeros((*inputs.shape, 4 * WIDTH), flat.dtype)  # of keys, values, queries and vectors as looked up
-    dk, dv, dq, dx = (d[:, :, i * WIDTH : (i + 1) * WIDTH] for i in range(4))
-    dh = (d_out + du @ w["first"].T).reshape(mixed.shape)
-    dx[1:] = dh
-    ds = np.empty_like(a)
-    np.matmul(dh, value[:-1].transpose(0, 2, 1), out=ds[:, :, :STRIDE])
-    np.matmul(dh, value[1:].transpose(0, 2, 1), out=ds[:, :, STRIDE:])
-    ds -= (dh * mixed).sum(2, keepdims=True)
-    ds *= a
-    g["distance"] += np.bincount(_AGO[_AHEAD == 0], ds.sum(0)[_AHEAD == 0], 2 * STRIDE).astype(flat.dtype)
-    s1, s2 = ds[:, :, :STRIDE], ds[:, :, STRIDE:]
-    a1, a2 = a[:, :, :STRIDE], a[:, :, STRIDE:]
-    dq[1:] = s1 @ key[:-1]
-    dq[1:] += s2 @ key[1:]
-    dk[1:] = s2.transpose(0, 2, 1) @ query
-    dk[:-1] += s1.transpose(0, 2, 1) @ query
-    dv[1:] = a2.transpose(0, 2, 1) @ dh
-    dv[:-1] += a1.transpose(0, 2, 1) @ dh
-    # Summed by input first: the weights of keys, values and queries then see each input once.
-    ids = inputs.ravel()
-    order = np.argsort(ids.astype(np.int16), kind="stable")
-    ids = ids.take(order)
-    starts = np.flatnonzero(np.diff(ids, prepend=-1))
-    ids = ids.take(starts)
-    dk, dv, dq, dx = np.split(np.add.reduceat(d.reshape(-1, 4 * WIDTH).take(order, 0), starts, 0), 4, 1)
-    dq = dq * np.float32(WIDTH**-0.5)
-    x = w["vectors"].take(ids, 0)
-    g["key"] += x.T @ dk
-    g["value"] += x.T @ dv
-    g["query"] += x.T @ dq
-    g["vectors"][ids] = dx + dk @ w["key"].T + dv @ w["value"].T + dq @ w["query"].T
+    logp, back = _log_likelihood(w, out, real, inputs[1:].ravel().take(real), wanted.take(real), vocabulary, g)
+    first, second = np.ascontiguousarray(w["first"][:WIDTH].T), np.ascontiguousarray(w["second"].T)
+    asked = np.zeros((STRIDE, 2 * STRIDE), flat.dtype)
+    # Of vector, query, key and value as looked up, side by side, and from there back to the vectors.
+    home = np.concatenate((np.eye(WIDTH, dtype=flat.dtype), w["query"].T * _SCALE, w["key"].T, w["value"].T))
+    looked = np.zeros((WIDTH, 4 * WIDTH), flat.dtype)
+    ids = np.concatenate([inputs[a - 1 : b].ravel() for a, b in parts] or [inputs.ravel()]).astype(np.int64)
+    lines, done = np.zeros((WIDTH, len(ids)), flat.dtype), 0
+    for (a, b), (query, key, value, e, mixed, share, h, r) in zip(parts, ways):
+        d_out = back[(a - 1) * STRIDE : (b - 1) * STRIDE, :WIDTH]
+        g["second"] += r.T @ d_out
+        du = d_out @ second
+        du *= r > 0
+        g["first"] += h.T @ du
+        d = np.zeros((b - a + 1, STRIDE, 4 * WIDTH), flat.dtype)
+        dh = (du @ first + d_out).reshape(b - a, STRIDE, WIDTH)
+        d[1:, :, :WIDTH] = dh
+        scaled = np.empty_like(mixed)
+        np.multiply(dh, share, out=scaled[:, :, :WIDTH])
+        scaled[:, :, WIDTH] = -np.einsum("bij,bij->bi", scaled[:, :, :WIDTH], mixed[:, :, :WIDTH])
+        ds = scaled @ _windows(value).transpose(0, 2, 1)
+        ds *= e
+        asked += ds.sum(0)
+        np.matmul(ds, _windows(key), out=d[1:, :, WIDTH : 2 * WIDTH])
+        # Keys and values of a block are asked by itself and by the next one.
+        for asks, of, at in ((ds, query, 2 * WIDTH), (e, scaled[:, :, :WIDTH], 3 * WIDTH)):
+            asks = asks.transpose(0, 2, 1)
+            np.matmul(asks[:, STRIDE:], of, out=d[1:, :, at : at + WIDTH])
+            d[:-1, :, at : at + WIDTH] += asks[:, :STRIDE] @ of
+        d = d.reshape(-1, 4 * WIDTH)
+        mine = slice(done, done + len(d))
+        looked += w["vectors"].take(ids[mine], 0).T @ d
+        np.matmul(home.T, d.T, out=lines[:, mine])
+        done += len(d)
+    g["distance"] += np.bincount(_AGO[_AHEAD == 0], asked[_AHEAD == 0], 2 * STRIDE).astype(flat.dtype)
+    _, dq, dk, dv = np.split(looked, 4, 1)
+    g["query"] += dq * _SCALE
+    g["key"] += dk
+    g["value"] += dv
+    for i, line in enumerate(lines):
+        g["vectors"][:, i] += np.bincount(ids, line, len(w["vectors"]))
     g["vectors"][vocabulary.blank] = 0
     n = max(len(real), 1)
     flat_grad /= n

@@ -12,12 +12,11 @@
 import base64
 import math
 from array import array
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,16 +41,17 @@ CACHE_WORDS = 400_000
 CACHE_PAIRS = 1_000_000  # different pairs between words that a task gathers before it hands them on
 
 _encoders: dict = {}
+_numbered: dict = {}
 
 
 def encoder(path: str):
-    """The tokenizer of a rank file, one per Python worker; it is given single words to merge."""
+    """The tokenizer of a rank file, one per Python worker; it merges within lines, and is given a word a line."""
     if path not in _encoders:
         import tiktoken
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _encoders[path] = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+        _encoders[path] = tiktoken.Encoding("own", pat_str=r"\n|[^\n]+", mergeable_ranks=ranks, special_tokens={})
     return _encoders[path]
 
 
@@ -59,27 +59,68 @@ def subwords(word: bytes, encode) -> list[int]:
     return encode(" " + word.decode()) if word else [END_ID]
 
 
-def _words(text: str | None) -> list[bytes]:
-    """Lower-cased in A-Z, cut at ASCII white space."""
-    return (text or "").encode().lower().split()
+class _Words(dict):
+    """Number of each word; words: by number; flat: all subwords, and by number their place and how many."""
 
+    def __init__(self, encode):
+        self.encode, self.words = encode, [END]
+        self.flat, self.offset, self.size = array("i", [END_ID]), array("l", [0]), array("l", [1])
+        self[END] = 0
+        (self.line_end,) = encode("\n")
+
+    def _add(self, words: list[bytes]) -> None:
+        """Number words that have none, all cut in one call: words hold no line ends, so these part them."""
+        if not words:
+            return
+        pieces = np.array(self.encode((b" " + b"\n ".join(words) + b"\n").decode()), np.int32)
+        ends = pieces == self.line_end
+        sizes = np.diff(np.flatnonzero(ends), prepend=-1) - 1
+        self.offset.extend((len(self.flat) + np.cumsum(sizes) - sizes).tolist())
+        self.size.extend(sizes.tolist())
+        self.flat.frombytes(pieces[~ends].tobytes())
+        self.update(zip(words, range(len(self), len(self) + len(words))))
+        self.words += words
+
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """Number of each; every different word is looked up once."""
+        found = words.cast(pa.binary()).dictionary_encode()
+        different = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self._add([w for w in different if w not in self])
+        return np.fromiter(map(self.__getitem__, different), np.int64, len(different))[found.indices.to_numpy()]
+
+    def pieces(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Subwords of the words with these numbers, one after another, and how many each has."""
+        flat, offset, size = (np.array(x) for x in (self.flat, self.offset, self.size))
+        sizes = size[at]
+        first = np.cumsum(sizes) - sizes
+        return flat[np.arange(sizes.sum()) + np.repeat(offset[at] - first, sizes)], sizes
 
-def held_out(doc_id):
-    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS == HELD_OUT
 
+def known_words(encode) -> _Words:
+    """Words that this Python worker has cut, for whichever task it runs; it begins anew beyond CACHE_WORDS."""
+    if encode not in _numbered or len(_numbered[encode]) > CACHE_WORDS:
+        _numbered[encode] = _Words(encode)
+    return _numbered[encode]
 
-class _EdgeCache(dict):
-    """Number of each word, and by number its first and last subword."""
 
-    def __init__(self, encode):
-        self.encode, self.first, self.last = encode, array("l"), array("l")
+def _split(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """How many words each text has, and all words; lower-cased in A-Z, cut at ASCII white space."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words = lists.flatten()
+    real = pc.not_equal(words, "")
+    ends = np.concatenate(([0], np.cumsum(real.to_numpy(zero_copy_only=False))))[np.cumsum(pc.list_value_length(lists).to_numpy())]
+    return np.diff(ends, prepend=0), words.filter(real)
 
-    def __missing__(self, word: bytes) -> int:
-        pieces = subwords(word, self.encode)
-        self.first.append(pieces[0])
-        self.last.append(pieces[-1])
-        number = self[word] = len(self)
-        return number
+
+def _closed(counts: np.ndarray, numbers: np.ndarray, end: int) -> np.ndarray:
+    """The numbers of the words of texts, with that of the end mark behind each text."""
+    out = np.full(len(numbers) + len(counts), end)
+    out[np.arange(len(numbers)) + np.repeat(np.arange(len(counts)), counts)] = numbers
+    return out
+
+
+def held_out(doc_id):
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS == HELD_OUT
 
 
 def _summed(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -104,26 +145,34 @@ def gather(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode_ordinary
-        counts: Counter = Counter()
         number = TaskContext.get().partitionId() << 40
-        cache, codes, sums = _EdgeCache(encode), [], []
+        cache, totals = known_words(encode), np.zeros(0, np.int64)
+        codes, sums = [], []
+
+        def counted():
+            some = np.flatnonzero(totals)
+            return rows(len(some), word=[cache.words[i] for i in some.tolist()], n=totals[some])
+
         for batch in batches:
             for part in row_slices(batch, 0):
-                excerpts, closed, everything = [], [], [END]
-                for text in part.column(0).to_pylist():
-                    words = _words(text)
-                    counts.update(words)
-                    counts[END] += 1
-                    everything += words
-                    everything.append(END)
-                    for a in range(0, max(len(words), 1), EXCERPT_WORDS):
-                        excerpts.append(b" ".join(words[a : a + EXCERPT_WORDS]))
-                        closed.append(a + EXCERPT_WORDS >= len(words))
+                if known_words(encode) is not cache:
+                    yield counted()
+                    cache, totals = known_words(encode), np.zeros(0, np.int64)
+                counts, words = _split(part.column(0))
+                at = np.append(cache[END], _closed(counts, cache.numbers(words), cache[END]))
+                found = np.bincount(at[1:], minlength=len(cache))
+                found[: len(totals)] += totals
+                totals = found
+                # Excerpts: each text has one at least.
+                pieces = np.maximum(-(-counts // EXCERPT_WORDS), 1)
+                begin, nth = np.cumsum(counts) - counts, np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                offsets = np.append(np.repeat(begin, pieces) + nth * EXCERPT_WORDS, len(words)).astype(np.int32)
+                excerpts = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), words), " ").cast(pa.binary())
                 numbers = np.arange(number, number + len(excerpts))
-                yield rows(len(excerpts), excerpt=excerpts, closed=closed, number=numbers)
+                yield rows(len(excerpts), excerpt=excerpts, closed=nth + 1 == np.repeat(pieces, pieces), number=numbers)
                 number += len(excerpts)
-                at = np.fromiter(map(cache.__getitem__, everything), np.int64, len(everything))
-                first, last = np.array(cache.first), np.array(cache.last)
+                flat, offset, size = (np.array(x) for x in (cache.flat, cache.offset, cache.size))
+                first, last = flat[offset].astype(np.int64), flat[offset + size - 1].astype(np.int64)
                 found, n = np.unique(last[at[:-1]] * SUBWORDS + first[at[1:]], return_counts=True)
                 codes.append(found)
                 sums.append(n)
@@ -133,12 +182,7 @@ def gather(docs: DataFrame, tokenizer: str) -> DataFrame:
                     if len(found) > CACHE_PAIRS:
                         yield rows(len(found), pair=found, n=n)
                         codes, sums = [], []
-                if len(counts) > CACHE_WORDS:
-                    yield rows(len(counts), word=list(counts), n=list(counts.values()))
-                    counts = Counter()
-                if len(cache) > CACHE_WORDS:
-                    cache = _EdgeCache(encode)
-        yield rows(len(counts), word=list(counts), n=list(counts.values()))
+        yield counted()
         found, n = _summed(codes, sums)
         yield rows(len(found), pair=found, n=n)
 
@@ -152,8 +196,11 @@ def word_table(gathered: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode_ordinary
         for batch in batches:
-            pieces = [subwords(w, encode) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pieces, pa.list_(pa.int32()))], ["word", "c", "pieces"])
+            words = _Words(encode)
+            pieces, sizes = words.pieces(words.numbers(batch.column(0)))
+            offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(pieces, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], ["word", "c", "pieces"])
 
     counts = gathered.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("c"))
     return counts.mapInArrow(run, "word binary, c long, pieces array<int>")
@@ -215,33 +262,19 @@ def place():
     return F.pmod(F.xxhash64("excerpt", "number"), F.lit(2**32))
 
 
-class _PieceCache(dict):
-    """Number of each word; flat: all subwords, and by number their place and how many."""
-
-    def __init__(self, encode):
-        self.encode, self.flat, self.offset, self.size = encode, array("i"), array("l"), array("l")
-
-    def __missing__(self, word: bytes) -> int:
-        pieces = subwords(word, self.encode)
-        self.offset.append(len(self.flat))
-        self.size.append(len(pieces))
-        self.flat.extend(pieces)
-        number = self[word] = len(self)
-        return number
-
-
 def cut_excerpts(texts: list[tuple[bytes, bool]], encode) -> list[np.ndarray]:
     """Subword ids of each excerpt, the end mark behind closed ones; excerpts without any are left out."""
-    cache, out = _PieceCache(encode), []
+    out = []
     for a in range(0, len(texts), CUT_TEXTS):
-        words = [t.split() + [END] * closed for t, closed in texts[a : a + CUT_TEXTS]]
-        counts = np.array([len(t) for t in words])
-        at = np.fromiter(map(cache.__getitem__, chain.from_iterable(words)), np.int64, counts.sum())
-        flat, offset, size = (np.array(x) for x in (cache.flat, cache.offset, cache.size))
-        sizes = size[at]
-        first = np.cumsum(sizes) - sizes
-        pieces = flat[np.arange(sizes.sum()) + np.repeat(offset[at] - first, sizes)]
-        ends = np.concatenate(([0], np.cumsum(sizes)))[np.cumsum(counts)]
+        cache = known_words(encode)
+        some = texts[a : a + CUT_TEXTS]
+        counts, words = _split(pa.array([t for t, _ in some], pa.string()))
+        at = _closed(counts, cache.numbers(words), cache[END])
+        ends = np.cumsum(counts + 1) - 1
+        keep = np.ones(len(at), bool)
+        keep[ends] = [c for _, c in some]
+        pieces, sizes = cache.pieces(at[keep])
+        ends = np.concatenate(([0], np.cumsum(sizes)))[np.cumsum(keep)[ends]]
         out += [x for x in np.split(pieces, ends[:-1]) if len(x)]
     return out
 
@@ -308,27 +341,6 @@ def _base(c, total, distinct):
     return F.log10((c + 0.5) / F.lit(total + 0.5 * (distinct + 1)))
 
 
-class _WordCache(dict):
-    """Number of each word; columns: all subwords, and by number their place, how many, the base
-    score and whether it is known (else it is to be looked up)."""
-
-    def __init__(self, encode, frequent: dict[bytes, int], divisor: float):
-        self.encode, self.frequent, self.divisor = encode, frequent, divisor
-        self.columns = array("i"), array("l"), array("l"), array("d"), array("b")
-
-    def __missing__(self, word: bytes) -> int:
-        flat, offset, size, base, state = self.columns
-        pieces = subwords(word, self.encode)
-        offset.append(len(flat))
-        size.append(len(pieces))
-        flat.extend(pieces)
-        c = self.frequent.get(word)
-        state.append(c is not None)
-        base.append(0.0 if c is None else math.log10((c + 0.5) / self.divisor))
-        number = self[word] = len(self)
-        return number
-
-
 def score_documents(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """One row per row of `docs`: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -350,32 +362,32 @@ def score_documents(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode_ordinary
         weights, vocabulary, frequent = shared.value
-        cache = _WordCache(encode, frequent, divisor)
+        cache, base, state = None, [], []
         for batch in batches:
             for part in row_slices(batch, 2):
-                if len(cache) > CACHE_WORDS:
-                    cache = _WordCache(encode, frequent, divisor)
-                texts = [[*_words(t), END] for t in part.column(2).to_pylist()]
-                counts = np.array([len(t) for t in texts])
-                everything = list(chain.from_iterable(texts))
-                at = np.fromiter(map(cache.__getitem__, everything), np.int64, len(everything))
-                flat, offset, size, base, state = map(np.array, cache.columns)
-                doc = np.repeat(np.arange(len(texts)), counts)
-                sizes = size[at]
-                first = np.cumsum(sizes) - sizes
-                place = np.arange(sizes.sum()) + np.repeat(offset[at] - first, sizes)
-                per_doc = np.bincount(doc, sizes, len(texts)).astype(np.int64)
-                logp = attention.score(weights, flat[place], per_doc, vocabulary)
-                scores = np.bincount(np.repeat(np.arange(len(texts)), per_doc), logp, len(texts)) / np.log(10)
+                if known_words(encode) is not cache:
+                    cache, base, state = known_words(encode), np.zeros(0), np.zeros(0, bool)
+                counts, words = _split(part.column(2))
+                at = _closed(counts, cache.numbers(words), cache[END])
+                counts = counts + 1
+                # By number, the base score and whether it is known (else the word is to be looked up).
+                c = [frequent.get(w, -1) for w in cache.words[len(base) :]]
+                base = np.append(base, [0.0 if n < 0 else math.log10((n + 0.5) / divisor) for n in c])
+                state = np.append(state, np.array(c, np.int64) >= 0)
+                doc = np.repeat(np.arange(len(counts)), counts)
+                pieces, sizes = cache.pieces(at)
+                per_doc = np.bincount(doc, sizes, len(counts)).astype(np.int64)
+                logp = attention.score(weights, pieces, per_doc, vocabulary)
+                scores = np.bincount(np.repeat(np.arange(len(counts)), per_doc), logp, len(counts)) / np.log(10)
                 found = state[at]
-                look = np.flatnonzero(found == 0)
-                ends = np.searchsorted(doc[look], np.arange(len(texts) + 1)).astype(np.int32)
-                rare = pa.ListArray.from_arrays(pa.array(ends), pa.array([everything[i] for i in look.tolist()], pa.binary()))
+                look = np.flatnonzero(~found)
+                ends = np.searchsorted(doc[look], np.arange(len(counts) + 1)).astype(np.int32)
+                rare = pa.ListArray.from_arrays(pa.array(ends), pa.array([cache.words[i] for i in at[look].tolist()], pa.binary()))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0), part.column(1), pa.array(counts),
-                        pa.array(np.bincount(doc, found, len(texts)).astype(np.int64)),
-                        pa.array(np.bincount(doc, base[at], len(texts))), pa.array(scores), rare,
+                        pa.array(np.bincount(doc, found, len(counts)).astype(np.int64)),
+                        pa.array(np.bincount(doc, base[at], len(counts))), pa.array(scores), rare,
                     ],
                     ["row", "doc_id", "n_tokens", "known", "base", "score", "rare"],
                 )

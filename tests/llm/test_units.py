@@ -1,6 +1,7 @@
 """The numpy parts against plain versions of the same."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from retailflow.llm import attention, attention_lm, chunking, mixing, order_minhash, packing, permutation_index, quality, suffix_dedup, warc, words
@@ -265,3 +266,49 @@ def test_excerpts_are_cut_into_the_subwords_of_their_words():
     want = [[p for w in t.split() + [b""] * c for p in attention_lm.subwords(w, encode)] for t, c in texts]
     assert [x.tolist() for x in attention_lm.cut_excerpts(texts, encode)] == [w for w in want if w]
     assert attention_lm.cut_excerpts([], encode) == []
+
+
+def test_words_are_cut_in_few_calls_and_once_for_all_tasks():
+    real, calls = attention_lm.encoder(attention_lm.TOKENIZER).encode_ordinary, []
+
+    def encode(text):
+        calls.append(text)
+        return real(text)
+
+    texts = [(f"w{i} größer{i % 7} 中{i}".encode(), i % 2 == 0) for i in range(1000)]
+    want = [[p for w in t.split() + [b""] * c for p in attention_lm.subwords(w, real)] for t, c in texts]
+    assert [x.tolist() for x in attention_lm.cut_excerpts(texts, encode)] == want
+    assert len(calls) < 10
+    before = len(calls)
+    assert [x.tolist() for x in attention_lm.cut_excerpts(texts, encode)] == want
+    assert len(calls) == before
+
+
+def test_split_is_that_of_bytes():
+    rng = np.random.default_rng(3)
+    signs = list(" \t\n\x0b\f\raBZé中\x00\x1c\x85  😀")
+    texts = ["".join(rng.choice(signs, n)) for n in rng.integers(0, 12, 3000)] + ["", None, " "]
+    counts, found = attention_lm._split(pa.array(texts))
+    want = [(t or "").encode().lower().split() for t in texts]
+    assert counts.tolist() == [len(w) for w in want]
+    assert [w.encode() for w in found.to_pylist()] == [w for ws in want for w in ws]
+
+
+def test_gradient_and_scores_do_not_depend_on_how_many_blocks_are_worked_on_at_once(monkeypatch):
+    rng = np.random.default_rng(1)
+    vocabulary = attention.Vocabulary(np.r_[np.full(1500, 20.0), np.zeros(48_757)])
+    vocabulary.learn_pairs(rng.integers(0, 3, (vocabulary.begin + 1, attention.CLASSES * attention.MEMBERS + 1)).astype(float))
+    flat = attention.initial(vocabulary).astype(float)
+    flat += rng.normal(0, 0.05, len(flat))
+    sizes = rng.integers(1, 90, 60)
+    pieces = rng.integers(0, 1600, sizes.sum())
+    inputs, targets, blank, _ = attention.layout(pieces, sizes, vocabulary)
+    found = []
+    for attend, rows in ((10**6, 10**6), (5, 7), (attention.ATTEND, attention.ROWS)):
+        monkeypatch.setattr(attention, "ATTEND", attend)
+        monkeypatch.setattr(attention, "ROWS", rows)
+        loss, g = attention.gradient(flat, inputs, targets, blank, vocabulary)
+        scores = attention.score(flat.astype(np.float32), pieces, sizes, vocabulary)
+        assert np.isclose(-scores.mean(), loss, atol=1e-4)
+        found.append(g)
+    assert np.allclose(found[0], found[1], atol=1e-9) and np.allclose(found[0], found[2], atol=1e-9)
